@@ -83,3 +83,26 @@ def row_number_within(
     return placed.join(starts, list(keys)).select(
         *df.columns, (F.col("_pos") - F.col("_start") + 1).alias(name)
     )
+
+
+def exact_percentiles(df: DataFrame, column: str, fractions: Sequence[float]) -> list[float]:
+    """Exact percentiles with linear interpolation between neighbouring ranks.
+
+    Equal values are counted first; the distinct values are placed by a distributed sort with
+    a running count, and only the rows at the wanted ranks are read back.
+    """
+    counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("v")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    placed = with_position(counts, ["v"], "_pos", {"upto": F.col("n")})
+    total = placed.agg(F.max("upto")).first()[0]
+    if not total:
+        return [float("nan")] * len(fractions)
+    ranks = [(total - 1) * f for f in fractions]
+    wanted = sorted({int(r) for r in ranks} | {min(int(r) + 1, total - 1) for r in ranks})
+    at = F.array(*[F.lit(w).cast("long") for w in wanted])
+    hit = placed.withColumn("k", F.explode(F.filter(at, lambda w: (w < F.col("upto")) & (w >= F.col("upto") - F.col("n")))))
+    value = {r["k"]: r["v"] for r in hit.select("k", "v").collect()}
+    return [
+        value[int(r)] + (r - int(r)) * (value[min(int(r) + 1, total - 1)] - value[int(r)]) for r in ranks
+    ]
