@@ -73,10 +73,6 @@ def expand_contractions(col: Column) -> Column:
     return col
 
 
-def _stop_array() -> Column:
-    return F.array(*[F.lit(w) for w in STOP_WORDS])
-
-
 def normalize_text(col: Column) -> Column:
     """Written-out escapes and other marks become blanks, stop words go, lower case stays."""
     for escape in ("\\r", '\\"', "\\n"):
@@ -107,8 +103,7 @@ def tokenize(col: Column) -> Column:
 
 
 def remove_stopwords(tokens: Column, ignore_case: bool = False) -> Column:
-    stops = _stop_array()
-    return F.filter(tokens, lambda w: ~F.array_contains(stops, F.lower(w) if ignore_case else w))
+    return F.filter(tokens, lambda w: ~(F.lower(w) if ignore_case else w).isin(STOP_WORDS))
 
 
 def words(col: Column, min_length: int = 2) -> Column:

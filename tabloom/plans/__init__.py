@@ -1,11 +1,13 @@
 """Distributed building blocks that several operators share."""
 
+from tabloom.plans.matmul import block_product
 from tabloom.plans.neighbours import nearest_neighbours
 from tabloom.plans.ordering import exact_percentiles, largest_group, row_number_within, with_position
 from tabloom.plans.pairs import pair_sums
 from tabloom.plans.storage import checkpointed, scratch_path, shared_dir, written
 
 __all__ = [
+    "block_product",
     "checkpointed",
     "exact_percentiles",
     "largest_group",

@@ -1,6 +1,6 @@
 """Every registered query with its SQL."""
 
-from tabloom.queries import aggregates, joins, rows, sources, windows  # noqa: F401
+from tabloom.queries import aggregates, features, joins, rows, sources, windows  # noqa: F401
 from tabloom.queries.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

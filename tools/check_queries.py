@@ -17,6 +17,7 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
+TIMES: dict[str, float] = {}
 
 
 def connect(sf: str) -> duckdb.DuckDBPyConnection:
@@ -44,7 +45,9 @@ def canonical(frame) -> list[tuple]:
 
 
 def compare(spark, con, sf: str, name: str) -> str:
+    start = time.time()
     got = QUERIES[name](spark, sf).toPandas()
+    TIMES[name] = time.time() - start
     if name not in ORACLES:
         return f"rows {len(got)}" if len(got) else "EMPTY"
     want = con.execute(ORACLES[name]).fetchdf()
@@ -66,6 +69,7 @@ def main() -> int:
     sf = args.pop(0) if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     names = [n for n in QUERIES if not args or any(n.startswith(p) for p in args)]
     spark, con, bad = local_session("8"), connect(sf), 0
+    spark.sparkContext.setLogLevel("OFF")
     for name in names:
         start = time.time()
         try:
@@ -74,7 +78,7 @@ def main() -> int:
             result = f"ERROR {type(error).__name__}: {str(error)[:600]}"
         good = result.startswith(("ok", "rows")) and "EMPTY" not in result
         bad += not good
-        print(f"{'   ' if good else '!! '}{name:32s} {time.time() - start:6.2f}s {result}", flush=True)
+        print(f"{'   ' if good else '!! '}{name:32s} {TIMES.get(name, 0):6.2f}s +{time.time() - start - TIMES.get(name, 0):5.2f}s {result}", flush=True)
     print(f"{len(names)} queries, {bad} bad")
     return bad
 
