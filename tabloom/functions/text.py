@@ -111,16 +111,20 @@ def words(col: Column, min_length: int = 2) -> Column:
     return F.regexp_extract_all(F.lower(col), F.lit(r"[\p{L}\p{N}_]{%d,}" % min_length), F.lit(0))
 
 
-def _runs(tokens: Column, n: int) -> Column:
-    starts = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - (n - 1)))
-    return F.transform(
-        F.coalesce(starts, F.array().cast("array<int>")), lambda i: F.array_join(F.slice(tokens, i, n), " ")
-    )
-
-
 def ngrams(tokens: Column, low: int, high: int) -> Column:
-    """All runs of ``low`` to ``high`` neighbouring tokens, joined by blanks."""
-    return F.flatten(F.array(*[_runs(tokens, n) for n in range(low, high + 1)]))
+    """All runs of ``low`` to ``high`` neighbouring tokens, joined by blanks.
+
+    Longer runs append the shifted tokens to the shorter ones; a run past the end is null and
+    goes. No lambda looks back into the token array, so the work stays linear in the text.
+    """
+    sized, runs = [], tokens
+    for n in range(1, high + 1):
+        if n > 1:
+            following = F.slice(tokens, n, F.size(tokens))
+            runs = F.zip_with(runs, following, lambda a, b: F.concat(a, F.lit(" "), b))
+        if n >= low:
+            sized.append(runs)
+    return F.array_compact(F.flatten(F.array(*sized)))
 
 
 def string_hash(col: Column, m: int = 257, c: int = 1024) -> Column:

@@ -107,11 +107,6 @@ def group_values(df: DataFrame, key: str, value: str) -> DataFrame:
     return counted.join(sums, key)
 
 
-def group_list(df: DataFrame, key: str, value: str) -> DataFrame:
-    """Sorted list and sum of the values of each key, for keys known to be small."""
-    return df.groupBy(key).agg(F.sort_array(F.collect_list(value)).alias("values"), F.sum(value).alias("total"))
-
-
 def crosstab(df: DataFrame, row: str, col: str, values: Sequence | None = None) -> DataFrame:
     """Counts of ``row`` by ``col``, absent pairs 0. Known values save a pass."""
     wide = df.groupBy(row).pivot(col, list(values) if values else None).count()

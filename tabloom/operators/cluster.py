@@ -13,7 +13,7 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.plans import checkpointed, nearest_neighbours, written
+from tabloom.plans import KeyedLinks, checkpointed, nearest_neighbours, written
 
 Centres = Sequence[Sequence[float]]
 
@@ -284,10 +284,11 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     Every round takes the smallest label among a node and its neighbours and then jumps to
     that label's own label, which shortens long chains by half; rounds end in checkpoints.
     """
-    both = written(edges.select(F.explode(F.array(F.struct(F.col("a").alias("v"), F.col("b").alias("w")), F.struct(F.col("b").alias("v"), F.col("a").alias("w")))).alias("e")).select("e.v", "e.w"), "edges")
+    turned = F.array(*[F.struct(F.col(x).alias("v"), F.col(y).alias("w")) for x, y in (("a", "b"), ("b", "a"))])
+    links = KeyedLinks(edges.select(F.explode(turned).alias("e")).select("e.v", "e.w"), "v")
     labels = checkpointed(nodes.select("node", F.col("node").alias("label")))
     while True:
-        offered = both.join(labels.select(F.col("node").alias("v"), "label"), "v").groupBy(F.col("w").alias("node")).agg(
+        offered = links.send(labels.select(F.col("node").alias("v"), "label")).groupBy(F.col("w").alias("node")).agg(
             F.min("label").alias("_offer")
         )
         lower = labels.join(offered, "node", "left").select(
@@ -295,9 +296,10 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         )
         heads = labels.select(F.col("node").alias("label"), F.col("label").alias("_jump"))
         new = checkpointed(lower.join(heads, "label").select("node", "_old", F.least("label", "_jump").alias("label")))
-        changed = new.filter(F.col("label") != F.col("_old")).isEmpty()
+        settled = new.filter(F.col("label") != F.col("_old")).isEmpty()
         labels = new.select("node", "label")
-        if changed:
+        if settled:
+            links.close()
             return labels
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tabloom.functions import text
 from tabloom.operators.aggregates import count_by
-from tabloom.plans import exact_percentiles, nearest_neighbours, with_position, written
+from tabloom.plans import exact_percentiles, nearest_neighbours, spread, with_position, written
 
 Scaling = Mapping[str, tuple[float, float]]  # column -> (shift, width)
 
@@ -122,23 +122,31 @@ def hashing_tf(df: DataFrame, tokens: str, size: int = 1 << 12, name: str = "fea
 
 def bag_of_words(docs: DataFrame, key: str, column: str) -> DataFrame:
     """(key, term, n): lower-case words without stop words, counted per document."""
-    terms = docs.select(key, F.explode(text.words(F.col(column))).alias("term"))
+    terms = spread(docs.select(key, column)).select(key, F.explode(text.words(F.col(column))).alias("term"))
     return count_by(terms.filter(~F.col("term").isin(text.STOP_WORDS)), key, "term")
 
 
 def tfidf(docs: DataFrame, key: str, column: str, ngram: tuple[int, int] = (1, 3), min_df: float = 0.05) -> DataFrame:
     """(key, term, weight): tf times ``ln((1 + docs) / (1 + df)) + 1``, rows of length 1.
 
-    Terms in fewer than ``min_df`` of the documents are dropped before the weights are joined,
-    so the vocabulary that meets the counts is short: at most (terms per document) / min_df.
+    Document frequencies come first, from the distinct terms of each document: only terms and
+    counts are shuffled. The terms kept, at most (terms per document) / min_df, are few, so the
+    second pass drops all others before it counts terms per document.
     """
-    tokens = docs.select(key, text.remove_stopwords(text.words(F.col(column))).alias("_t"))
-    counts = count_by(tokens.select(key, F.explode(text.ngrams(F.col("_t"), *ngram)).alias("term")), key, "term")
-    counts = written(counts, "term-counts")
+    tokens = text.remove_stopwords(text.words(F.col(column)))
+    grams = spread(docs.select(key, column)).select(key, tokens.alias("_t")).select(
+        key, text.ngrams(F.col("_t"), *ngram).alias("_g")
+    )
     n_docs = docs.count()
-    vocabulary = counts.groupBy("term").agg(F.count(F.lit(1)).alias("_df")).filter(F.col("_df") >= min_df * n_docs)
+    # explode_outer: the filter that explode adds would be pushed down and compute the terms twice.
+    seen = grams.select(F.explode_outer(F.array_distinct("_g")).alias("term"))
+    vocabulary = written(
+        seen.groupBy("term").agg(F.count(F.lit(1)).alias("_df")).filter(F.col("_df") >= min_df * n_docs), "vocabulary"
+    )
     idf = F.log((1 + F.lit(n_docs)) / (1 + F.col("_df"))) + 1
-    raw = counts.join(vocabulary, "term").select(key, "term", (F.col("n") * idf).alias("_w"))
+    kept = grams.select(key, F.explode_outer("_g").alias("term")).join(vocabulary, "term")
+    raw = kept.groupBy(key, "term").agg((F.count(F.lit(1)) * F.first(idf)).alias("_w"))
+    raw = written(raw, "term-weights")
     norms = raw.groupBy(key).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_norm"))
     return raw.join(norms, key).select(key, "term", (F.col("_w") / F.col("_norm")).alias("weight"))
 
@@ -149,7 +157,7 @@ def sentence_vectors(docs: DataFrame, key: str, column: str, vectors: DataFrame,
     ``vectors`` is ``(word, vec array<double>)``. Words are counted per document first, so a
     frequent word crosses the join once per document.
     """
-    words = docs.select(key, F.explode(F.split(column, r"\s+")).alias("word"))
+    words = spread(docs.select(key, column)).select(key, F.explode(F.split(column, r"\s+")).alias("word"))
     known = count_by(words, key, "word").join(vectors, "word")
     means = known.groupBy(key).agg(
         vector_to_array(Summarizer.mean(array_to_vector("vec"), F.col("n").cast("double"))).alias("_mean")

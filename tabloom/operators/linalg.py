@@ -13,7 +13,7 @@ from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.plans import block_product, checkpointed, row_number_within, written
+from tabloom.plans import KeyedLinks, block_product, checkpointed, row_number_within, written
 
 # --- products -------------------------------------------------------------------------------
 
@@ -110,31 +110,33 @@ def low_rank(rows: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
 def pagerank(edges: DataFrame, m: float = 0.15, tol: float = 1e-9, max_iter: int = 50) -> DataFrame:
     """(node, rank) with ranks summing to 1; a node without out-edges spreads its rank evenly.
 
-    Each round joins the ranks (one row per node) to the edges and sums per target before the
-    shuffle, so neither a node with many in-edges nor one with many out-edges fills a task.
-    Every round ends in a checkpoint, and two sums decide whether to go on.
+    The links are laid out by source once; a round sends the ranks (one row per node) to them
+    and sums per target before the shuffle, so neither a node with many in-edges nor one with
+    many out-edges fills a task. Rounds end in checkpoints, and two sums decide whether to go on.
     """
-    degrees = edges.groupBy("src").agg(F.count(F.lit(1)).alias("_deg"))
-    links = written(edges.select("src", "dst"), "links")
-    nodes = links.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
-    nodes = written(
-        nodes.join(degrees.withColumnRenamed("src", "node"), "node", "left").select("node", "_deg"), "nodes"
-    )
-    n = nodes.count()
-    ranks = nodes.withColumn("rank", F.lit(1.0 / n))
-    for _ in range(max_iter):
+    links = KeyedLinks(edges.select("src", "dst"), "src")
+    degrees = links.table.groupBy(F.col("src").alias("node")).agg(F.count(F.lit(1)).alias("_deg"))
+    nodes = links.table.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
+    nodes = written(nodes.join(degrees, "node", "left").select("node", "_deg"), "nodes")
+    size = nodes.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_deg").isNull()).alias("loose")).first()
+    n, loose = size["n"], size["loose"] / max(size["n"], 1)
+    ranks = nodes.withColumn("rank", F.lit(1.0 / max(n, 1)))
+    for _ in range(max_iter if n else 0):
         out = ranks.filter("_deg IS NOT NULL").select(F.col("node").alias("src"), (F.col("rank") / F.col("_deg")).alias("_out"))
-        gained = links.join(out, "src").groupBy(F.col("dst").alias("node")).agg(F.sum("_out").alias("_in"))
-        loose = ranks.agg(F.coalesce(F.sum(F.when(F.col("_deg").isNull(), F.col("rank"))), F.lit(0.0)).alias("x")).first()["x"]
+        gained = links.send(out).groupBy(F.col("dst").alias("node")).agg(F.sum("_out").alias("_in"))
         base = (m + (1 - m) * loose) / n
         new = ranks.withColumnRenamed("rank", "_old").join(gained, "node", "left").select(
             "node", "_deg", "_old", (F.lit(base) + (1 - m) * F.coalesce("_in", F.lit(0.0))).alias("rank")
         )
         new = checkpointed(new)
-        moved = new.agg(F.max(F.abs(F.col("rank") - F.col("_old")))).first()[0]
-        ranks = new.drop("_old")
-        if moved < tol:
+        state = new.agg(
+            F.max(F.abs(F.col("rank") - F.col("_old"))).alias("moved"),
+            F.coalesce(F.sum(F.when(F.col("_deg").isNull(), F.col("rank"))), F.lit(0.0)).alias("loose"),
+        ).first()
+        ranks, loose = new.drop("_old"), state["loose"]
+        if state["moved"] < tol:
             break
+    links.close()
     return ranks.select("node", "rank")
 
 

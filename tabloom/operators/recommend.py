@@ -106,14 +106,17 @@ def top_associated(pairs: DataFrame, by: str, n: int) -> DataFrame:
     return pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
 
 
-def _baskets_as_lists(baskets: DataFrame) -> DataFrame:
-    return baskets.groupBy("basket").agg(F.collect_set("item").alias("items"))
-
-
 def fit_rules(baskets: DataFrame, min_support: float, min_confidence: float = 0.0):
-    """An FP-growth model over ``(basket, item)``."""
-    growth = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence)
-    return growth.fit(_baskets_as_lists(baskets))
+    """An FP-growth model over ``(basket, item)``.
+
+    Items below the support cannot be in a frequent set, so they leave the lists first (the
+    basket stays, if empty). A list then holds at most (items per basket) / min_support items.
+    """
+    frequent = item_support(baskets).filter(F.col("support") >= min_support).select("item", F.lit(True).alias("_in"))
+    lists = baskets.join(frequent, "item", "left").groupBy("basket").agg(
+        F.collect_set(F.when(F.col("_in"), F.col("item"))).alias("items")
+    )
+    return FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(lists)
 
 
 def frequent_itemsets(baskets: DataFrame, min_support: float) -> DataFrame:

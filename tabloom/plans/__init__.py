@@ -1,12 +1,14 @@
 """Distributed building blocks that several operators share."""
 
+from tabloom.plans.links import KeyedLinks
 from tabloom.plans.matmul import block_product
 from tabloom.plans.neighbours import nearest_neighbours
 from tabloom.plans.ordering import exact_percentiles, largest_group, row_number_within, with_position
 from tabloom.plans.pairs import pair_sums
-from tabloom.plans.storage import checkpointed, scratch_path, shared_dir, written
+from tabloom.plans.storage import checkpointed, scratch_path, shared_dir, spread, written
 
 __all__ = [
+    "KeyedLinks",
     "block_product",
     "checkpointed",
     "exact_percentiles",
@@ -16,6 +18,7 @@ __all__ = [
     "row_number_within",
     "scratch_path",
     "shared_dir",
+    "spread",
     "with_position",
     "written",
 ]

@@ -78,14 +78,14 @@ def p10(spark, sf):
 
 @query(
     "p11_recode",
-    """SELECT n_nationkey, CASE n_name WHEN 'NATION_1' THEN 'First' WHEN 'NATION_2' THEN 'Second' ELSE n_name END AS n_name,
-      r_name AS region FROM nation JOIN region ON n_regionkey = r_regionkey""",
+    """SELECT c_custkey, CASE c_mktsegment WHEN 'BUILDING' THEN 'Houses' WHEN 'MACHINERY' THEN 'Engines' ELSE c_mktsegment END AS c_mktsegment,
+      n_name AS nation FROM customer JOIN nation ON c_nationkey = n_nationkey""",
 )
 def p11(spark, sf):
-    nation = table(spark, sf, "nation").withColumn("region", F.col("n_regionkey").cast("string"))
-    regions = table(spark, sf, "region").withColumn("key", F.col("r_regionkey").cast("string"))
-    named = rows.recode(nation, "n_name", {"NATION_1": "First", "NATION_2": "Second"})
-    return rows.recode_by(named, "region", regions, "key", "r_name").select("n_nationkey", "n_name", "region")
+    people = table(spark, sf, "customer").withColumn("nation", F.col("c_nationkey").cast("string"))
+    nations = table(spark, sf, "nation").withColumn("key", F.col("n_nationkey").cast("string"))
+    named = rows.recode(people, "c_mktsegment", {"BUILDING": "Houses", "MACHINERY": "Engines"})
+    return rows.recode_by(named, "nation", nations, "key", "n_name").select("c_custkey", "c_mktsegment", "nation")
 
 
 @query(

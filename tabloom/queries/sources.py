@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
@@ -194,18 +196,18 @@ def s16(spark, sf):
     return readers.load(spark, path)
 
 
-@query("s17_managed_table", "SELECT r_regionkey, r_name FROM region")
+@query("s17_managed_table", CUSTOMERS)
 def s17(spark, sf):
-    writers.save_table(table(spark, sf, "region"), "tabloom_region")
-    return spark.table("tabloom_region")
+    name = f"tabloom_customer_{uuid.uuid4().hex}"
+    writers.save_table(table(spark, sf, "customer"), name)
+    return spark.table(name)
 
 
-@query("s18_external_table", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@query("s18_external_table", "SELECT p_partkey, p_brand, p_size FROM part")
 def s18(spark, sf):
-    path = scratch_path(spark, "nation")
-    spark.sql("DROP TABLE IF EXISTS tabloom_nation")
-    writers.save_table(table(spark, sf, "nation"), "tabloom_nation", path=path)
-    return spark.table("tabloom_nation")
+    name = f"tabloom_part_{uuid.uuid4().hex}"
+    writers.save_table(table(spark, sf, "part").select("p_partkey", "p_brand", "p_size"), name, path=scratch_path(spark, "part"))
+    return spark.table(name)
 
 
 @query("s19_save_partitioned", "SELECT event_type, event_id, value FROM events WHERE event_type = 'click'")
