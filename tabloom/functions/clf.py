@@ -22,15 +22,28 @@ def clf_size(size: Column) -> Column:
     return F.when(size == "-", F.lit(0).cast("long")).otherwise(size.try_cast("long"))
 
 
+# Groups in the order they are written out for splitting. No group but the time can hold a line
+# break, so the time comes last.
+_ORDER = (1, 2, 3, 5, 6, 7, 8, 9, 4)
+
+
 def parse_clf(lines: DataFrame, line: str = "line", fixed: bool = True) -> DataFrame:
-    """Add the nine fields and ``parsed``; fields are null on a line that does not match."""
+    """Add the nine fields and ``parsed``; fields are null on a line that does not match.
+
+    The pattern runs twice per line, once for the flag and once to cut out all groups.
+    """
     pattern = FIXED if fixed else STRICT
+    cut = F.regexp_replace(F.col(line), pattern, "\n".join(f"${i}" for i in _ORDER) + "\n")
+    staged = lines.withColumn("parsed", F.col(line).rlike(pattern)).withColumn(
+        "_fields", F.when(F.col("parsed"), F.split(cut, "\n"))
+    )
 
     def group(i: int) -> Column:
-        return F.when(F.col("parsed"), F.regexp_extract(F.col(line), pattern, i))
+        return F.col("_fields")[_ORDER.index(i)]
 
-    return lines.withColumn("parsed", F.col(line).rlike(pattern)).select(
-        "*",
+    return staged.select(
+        *lines.columns,
+        "parsed",
         group(1).alias("host"),
         group(2).alias("client_identd"),
         group(3).alias("user_id"),

@@ -126,23 +126,38 @@ def bag_of_words(docs: DataFrame, key: str, column: str) -> DataFrame:
     return count_by(terms.filter(~F.col("term").isin(text.STOP_WORDS)), key, "term")
 
 
-def tfidf(docs: DataFrame, key: str, column: str, ngram: tuple[int, int] = (1, 3), min_df: float = 0.05) -> DataFrame:
+def _document_frequency(arrays: DataFrame, column: str, least: float) -> DataFrame:
+    """(term, _df) of the terms that occur in at least ``least`` documents.
+
+    explode_outer: the filter that a plain explode adds would be pushed down and compute the
+    arrays twice.
+    """
+    seen = arrays.select(F.explode_outer(F.array_distinct(column)).alias("term"))
+    return seen.groupBy("term").agg(F.count(F.lit(1)).alias("_df")).filter(
+        (F.col("_df") >= least) & F.col("term").isNotNull()
+    )
+
+
+def tfidf(
+    docs: DataFrame, key: str, column: str, ngram: tuple[int, int] = (1, 3), min_df: float = 0.05, most_words: int = 20_000
+) -> DataFrame:
     """(key, term, weight): tf times ``ln((1 + docs) / (1 + df)) + 1``, rows of length 1.
 
-    Document frequencies come first, from the distinct terms of each document: only terms and
-    counts are shuffled. The terms kept, at most (terms per document) / min_df, are few, so the
-    second pass drops all others before it counts terms per document.
+    A run of words is no more frequent than its rarest word, so the frequent single words are
+    found first and runs that hold any other word are never built. There are at most (words per
+    document) / min_df frequent words; a longer list than ``most_words`` is not used, which
+    changes the cost and not the result. Document frequencies of the runs come next, and only
+    the terms kept are counted per document.
     """
     tokens = text.remove_stopwords(text.words(F.col(column)))
-    grams = spread(docs.select(key, column)).select(key, tokens.alias("_t")).select(
-        key, text.ngrams(F.col("_t"), *ngram).alias("_g")
-    )
+    words = spread(docs.select(key, column)).select(key, tokens.alias("_t"))
     n_docs = docs.count()
-    # explode_outer: the filter that explode adds would be pushed down and compute the terms twice.
-    seen = grams.select(F.explode_outer(F.array_distinct("_g")).alias("term"))
-    vocabulary = written(
-        seen.groupBy("term").agg(F.count(F.lit(1)).alias("_df")).filter(F.col("_df") >= min_df * n_docs), "vocabulary"
-    )
+    least = min_df * n_docs
+    frequent = [r["term"] for r in _document_frequency(words, "_t", least).limit(most_words + 1).select("term").collect()]
+    if len(frequent) <= most_words:
+        words = words.select(key, F.transform("_t", lambda w: F.when(w.isin(frequent), w)).alias("_t"))
+    grams = words.select(key, text.ngrams(F.col("_t"), *ngram).alias("_g"))
+    vocabulary = written(_document_frequency(grams, "_g", least), "vocabulary")
     idf = F.log((1 + F.lit(n_docs)) / (1 + F.col("_df"))) + 1
     kept = grams.select(key, F.explode_outer("_g").alias("term")).join(vocabulary, "term")
     raw = kept.groupBy(key, "term").agg((F.count(F.lit(1)) * F.first(idf)).alias("_w"))

@@ -77,6 +77,7 @@ def associations(baskets: DataFrame) -> DataFrame:
     confidence is P(y|x); ratio is P(y|x) / P(y|not x), 0 when y never comes without x;
     lift is P(x,y) / (P(x) P(y)).
     """
+    baskets = written(baskets.select("basket", "item").distinct(), "baskets")
     pairs = pair_sums(baskets.withColumn("_one", F.lit(1.0)), "item", "basket", "_one")
     both = pairs.select(F.explode(F.array(
         F.struct(F.col("a").alias("x"), F.col("b").alias("y"), "n"),
@@ -112,6 +113,7 @@ def fit_rules(baskets: DataFrame, min_support: float, min_confidence: float = 0.
     Items below the support cannot be in a frequent set, so they leave the lists first (the
     basket stays, if empty). A list then holds at most (items per basket) / min_support items.
     """
+    baskets = written(baskets.select("basket", "item").distinct(), "baskets")
     frequent = item_support(baskets).filter(F.col("support") >= min_support).select("item", F.lit(True).alias("_in"))
     lists = baskets.join(frequent, "item", "left").groupBy("basket").agg(
         F.collect_set(F.when(F.col("_in"), F.col("item"))).alias("items")
@@ -121,6 +123,7 @@ def fit_rules(baskets: DataFrame, min_support: float, min_confidence: float = 0.
 
 def frequent_itemsets(baskets: DataFrame, min_support: float) -> DataFrame:
     """(items sorted, n, support) of every itemset at or over the support."""
+    baskets = written(baskets.select("basket", "item").distinct(), "baskets")
     total = baskets.select("basket").distinct().count()
     sets = fit_rules(baskets, min_support).freqItemsets
     return sets.select(F.array_sort("items").alias("items"), F.col("freq").alias("n"), (F.col("freq") / total).alias("support"))
