@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tabloom.operators.aggregates import segment_users
 from tabloom.operators.topn import first_unseen
-from tabloom.plans import block_product, nearest_neighbours, pair_sums, with_position, written
+from tabloom.plans import block_product, nearest_neighbours, pair_sums, percentile_within, with_position, written
 
 # --- without personalisation ----------------------------------------------------------------
 
@@ -397,12 +397,8 @@ def relevant_fixed(test: DataFrame, threshold: float = 4) -> DataFrame:
 
 
 def relevant_quantile(test: DataFrame, q: float = 0.85) -> DataFrame:
-    """Items at or over the user's own quantile (linear).
-
-    Ratings are counted per value first, so a user contributes one row per distinct rating.
-    """
-    counts = test.groupBy("user_id", "rating").agg(F.count(F.lit(1)).alias("_n"))
-    limits = counts.groupBy("user_id").agg(F.percentile("rating", F.lit(q), F.col("_n")).alias("_limit"))
+    """Items at or over the user's own quantile (linear)."""
+    limits = percentile_within(test, ["user_id"], "rating", q, "_limit")
     return test.join(limits, "user_id").filter(F.col("rating") >= F.col("_limit")).select("user_id", "item_id")
 
 

@@ -52,7 +52,7 @@ def last_n(
     """
     hot_rows = ordering.HOT_GROUP_ROWS if hot_rows is None else hot_rows
     order = [F.col(ts), F.col(item)]
-    if largest_group(ratings, [user]) <= hot_rows:
+    if hot_rows and largest_group(ratings, [user]) <= hot_rows:
         window = Window.partitionBy(user).orderBy(*order)
         lagged = [F.coalesce(F.lag(item, i).over(window), F.lit(0)).alias(f"last_{i}") for i in range(1, n + 1)]
         return ratings.select("*", *lagged)
@@ -119,13 +119,22 @@ def sample(df: DataFrame, fraction: float, replace: bool = False, seed: int = 1)
 
 
 def sample_exact(df: DataFrame, n: int, seed: int = 1) -> DataFrame:
-    """Exactly n random rows (a top-n over random keys, no full sort)."""
-    return df.withColumn("_r", F.rand(seed)).orderBy("_r").limit(n).drop("_r")
+    """Exactly n random rows: a top-n over random keys, or a distributed sort when n is large."""
+    keyed = df.withColumn("_r", F.rand(seed))
+    if n <= 100_000:
+        return keyed.orderBy("_r").limit(n).drop("_r")
+    return with_position(keyed, ["_r"], "_pos").filter(F.col("_pos") <= n).drop("_r", "_pos")
+
+
+def hash_number(keys: Sequence[str], seed: int = 0) -> Column:
+    """A number in [0, 2^32) from the MD5 of the seed and the keys; any SQL engine can restate it."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
 
 
 def hash_unit(keys: Sequence[str], seed: int = 0) -> Column:
     """A number in [0, 1) that depends only on the keys and the seed."""
-    return F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+    return hash_number(keys, seed) / float(1 << 32)
 
 
 def split(df: DataFrame, weights: Sequence[float], keys: Sequence[str], seed: int = 0) -> list[DataFrame]:
@@ -166,7 +175,7 @@ def split_items(ratings: DataFrame, train_share: float = 0.75, seed: int = 0) ->
 
 def kfold(df: DataFrame, k: int, keys: Sequence[str], seed: int = 0) -> DataFrame:
     """Add ``fold`` in 0 .. k-1 by a hash of the keys; no shuffle."""
-    return df.withColumn("fold", F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(k)).cast("int"))
+    return df.withColumn("fold", (hash_number(keys, seed) % k).cast("int"))
 
 
 # --- set operations -----------------------------------------------------------------------

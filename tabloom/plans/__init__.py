@@ -3,7 +3,13 @@
 from tabloom.plans.links import KeyedLinks
 from tabloom.plans.matmul import block_product
 from tabloom.plans.neighbours import nearest_neighbours
-from tabloom.plans.ordering import exact_percentiles, largest_group, row_number_within, with_position
+from tabloom.plans.ordering import (
+    exact_percentiles,
+    largest_group,
+    percentile_within,
+    row_number_within,
+    with_position,
+)
 from tabloom.plans.pairs import pair_sums
 from tabloom.plans.storage import checkpointed, scratch_path, shared_dir, spread, written
 
@@ -15,6 +21,7 @@ __all__ = [
     "largest_group",
     "nearest_neighbours",
     "pair_sums",
+    "percentile_within",
     "row_number_within",
     "scratch_path",
     "shared_dir",

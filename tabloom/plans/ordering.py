@@ -73,9 +73,12 @@ def row_number_within(
     name: str = "rn",
     hot_rows: int | None = None,
 ) -> DataFrame:
-    """``row_number`` per key. Keys above ``hot_rows`` rows are split over many tasks."""
+    """``row_number`` per key. Keys above ``hot_rows`` rows are split over many tasks.
+
+    ``hot_rows=0`` takes the split path at once and spares the pass that looks for hot keys.
+    """
     hot_rows = HOT_GROUP_ROWS if hot_rows is None else hot_rows
-    if largest_group(df, keys) <= hot_rows:
+    if hot_rows and largest_group(df, keys) <= hot_rows:
         window = Window.partitionBy(*keys).orderBy(*[_column(c) for c in order])
         return df.withColumn(name, F.row_number().over(window).cast("long"))
     placed = with_position(df, [*keys, *order], "_pos")
@@ -106,3 +109,32 @@ def exact_percentiles(df: DataFrame, column: str, fractions: Sequence[float]) ->
     return [
         value[int(r)] + (r - int(r)) * (value[min(int(r) + 1, total - 1)] - value[int(r)]) for r in ranks
     ]
+
+
+def percentile_within(
+    df: DataFrame, keys: Sequence[str], column: str, fraction: float, name: str = "percentile", hot_rows: int | None = None
+) -> DataFrame:
+    """Exact percentile per key, linear between neighbouring ranks.
+
+    Values are counted per key first. While no key has more than ``hot_rows`` distinct values the
+    built-in aggregate does the rest; else a distributed sort ranks the values and only sums,
+    minima and maxima are taken per key.
+    """
+    hot_rows = HOT_GROUP_ROWS if hot_rows is None else hot_rows
+    counts = df.filter(F.col(column).isNotNull()).groupBy(*keys, F.col(column).cast("double").alias("_v")).agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    if hot_rows and largest_group(counts, keys) <= hot_rows:
+        return counts.groupBy(*keys).agg(F.percentile("_v", F.lit(fraction), F.col("_n")).alias(name))
+    placed = with_position(counts, [*keys, "_v"], "_pos", {"_upto": F.col("_n")})
+    bounds = placed.groupBy(*keys).agg(F.min(F.col("_upto") - F.col("_n")).alias("_start"), F.max("_upto").alias("_end"))
+    ranked = placed.join(bounds, list(keys)).withColumn("_h", (F.col("_end") - F.col("_start") - 1) * F.lit(fraction))
+    upto = F.col("_upto") - F.col("_start")
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((rank < upto) & (rank >= upto - F.col("_n")), F.col("_v")))
+
+    ends = ranked.groupBy(*keys).agg(
+        at(F.floor("_h")).alias("_a"), at(F.ceil("_h")).alias("_b"), F.max(F.col("_h") - F.floor("_h")).alias("_part")
+    )
+    return ends.select(*keys, (F.col("_a") + F.col("_part") * (F.col("_b") - F.col("_a"))).alias(name))

@@ -42,9 +42,9 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a few unsplittable files out over all cores before costly per-row work.
+    """Deal the rows of a few files out over all cores before costly per-row work.
 
-    An input that already has a partition per core is left as it is.
+    A table of at least as many files as cores is left as it is, so only small inputs move.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tabloom.functions import clf
 from tabloom.operators import aggregates as agg
+from tabloom.plans import spread
 from tabloom.queries import fixtures as fx
 from tabloom.queries.registry import query, table
 
@@ -119,7 +120,7 @@ def a13(spark, sf):
     "SELECT word, count(*) AS n FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents) GROUP BY 1",
 )
 def a14(spark, sf):
-    return agg.word_count(table(spark, sf, "documents"), "text")
+    return agg.word_count(spread(table(spark, sf, "documents").select("text")), "text")
 
 
 @query(
@@ -128,7 +129,7 @@ def a14(spark, sf):
     SELECT CAST(sum(n) AS BIGINT) AS total FROM (SELECT n FROM c ORDER BY n DESC, word LIMIT 5)""",
 )
 def a15(spark, sf):
-    return agg.top_mass(agg.word_count(table(spark, sf, "documents"), "text"), "word", 5)
+    return agg.top_mass(agg.word_count(spread(table(spark, sf, "documents").select("text")), "text"), "word", 5)
 
 
 @query(

@@ -92,6 +92,32 @@ def m25(spark, sf):
     return near.select("id", F.posexplode("vec").alias("j", "value")).withColumn("error", stats.select("error").scalar())
 
 
+COV_SQL = f"""WITH {fx.POINTS_SQL}, s AS (SELECT var_samp(x) AS a, covar_samp(x, y) AS b, var_samp(y) AS c FROM points),
+    e AS (SELECT (a + c) / 2 + sqrt((a - c) * (a - c) / 4 + b * b) AS big, (a + c) / 2 - sqrt((a - c) * (a - c) / 4 + b * b) AS small FROM s)"""
+
+
+@query(
+    "m24_pca_plane",
+    f"{COV_SQL} SELECT 0 AS pc, round(big, 9) AS variance FROM e UNION ALL SELECT 1, round(small, 9) FROM e",
+)
+def m24_plane(spark, sf):
+    points = fx.points(spark, sf).select("id", array_to_vector(F.array("x", "y")).alias("features"))
+    _, projected = linalg.pca(points, "features", 2)
+    long = projected.select(F.posexplode(vector_to_array("projection")).alias("pc", "value"))
+    return long.groupBy("pc").agg(F.round(F.var_samp("value"), 9).alias("variance"))
+
+
+@query(
+    "m25_low_rank_plane",
+    f"""WITH {fx.POINTS_SQL}, s AS (SELECT sum(x * x) AS a, sum(x * y) AS b, sum(y * y) AS c, count(*) AS n FROM points),
+    e AS (SELECT (a + c) / 2 - sqrt((a - c) * (a - c) / 4 + b * b) AS small, a + c AS total, n FROM s)
+    SELECT 1 AS rank, round((n + 3) / (n * 2), 6) AS ratio, round(sqrt(small / total), 6) AS error FROM e""",
+)
+def m25_plane(spark, sf):
+    _, stats = linalg.low_rank(fx.points(spark, sf).select("id", F.array("x", "y").alias("vec")), 1)
+    return stats.select("rank", F.round("ratio", 6).alias("ratio"), F.round("error", 6).alias("error"))
+
+
 def _pagerank_sql(rounds: int) -> str:
     steps = [f"""WITH {fx.EDGES_SQL}, d AS (SELECT src, count(*) AS deg FROM edges GROUP BY 1),
     v AS (SELECT DISTINCT node FROM (SELECT src AS node FROM edges UNION ALL SELECT dst FROM edges)), c AS (SELECT count(*)::DOUBLE AS n FROM v),
@@ -200,10 +226,26 @@ def m30(spark, sf):
     return spark.createDataFrame(rows, "cluster int, x double, y double")
 
 
-@query("m31_gaussian_mixture")
+def _mixture_sql(rounds: int) -> str:
+    density = "ln(w) - 0.5 * ((x - mx) * (x - mx) / vx + ln(2 * pi() * vx) + (y - my) * (y - my) / vy + ln(2 * pi() * vy))"
+    steps = [f"""WITH {fx.POINTS_SQL}, {CENTRES_SQL}, v AS (SELECT var_pop(x) AS vx, var_pop(y) AS vy FROM points),
+    t0 AS MATERIALIZED (SELECT k, 1 / 3::DOUBLE AS w, cx AS mx, cy AS my, vx, vy FROM centres, v)"""]
+    for i in range(rounds):
+        steps.append(f"""l{i} AS MATERIALIZED (SELECT id, x, y, k, exp({density}) AS d FROM points CROSS JOIN t{i}),
+        r{i} AS MATERIALIZED (SELECT *, d / sum(d) OVER (PARTITION BY id) AS r FROM l{i}),
+        c{i} AS MATERIALIZED (SELECT k, sum(r) / (SELECT count(*) FROM points) AS w, sum(r * x) / sum(r) AS mx, sum(r * y) / sum(r) AS my FROM r{i} GROUP BY k),
+        t{i + 1} AS MATERIALIZED (SELECT k, max(w) AS w, max(mx) AS mx, max(my) AS my, greatest(sum(r * (x - mx) * (x - mx)) / sum(r), 1e-6::DOUBLE) AS vx,
+          greatest(sum(r * (y - my) * (y - my)) / sum(r), 1e-6::DOUBLE) AS vy FROM r{i} JOIN c{i} USING (k) GROUP BY k)""")
+    shown = ", ".join(f"round({a}, 6) + 0.0 AS {b}" for a, b in (("w", "weight"), ("mx", "x"), ("my", "y"), ("vx", "var_x"), ("vy", "var_y")))
+    return ", ".join(steps) + f" SELECT k AS component, {shown} FROM t{rounds}"
+
+
+@query("m31_gaussian_mixture", _mixture_sql(3))
 def m31(spark, sf):
-    weights, means, variances, _ = cluster.gmm(fx.points(spark, sf), ["x", "y"], C3, 5)
-    rows = [(i, weights[i], *means[i], *variances[i]) for i in range(len(weights))]
+    weights, means, variances, _ = cluster.gmm(fx.points(spark, sf), ["x", "y"], C3, 3)
+    rows = [
+        (i, *[round(v, 6) + 0.0 for v in (weights[i], *means[i], *variances[i])]) for i in range(len(weights))
+    ]
     return spark.createDataFrame(rows, "component int, weight double, x double, y double, var_x double, var_y double")
 
 

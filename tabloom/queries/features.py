@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tabloom.functions import text
 from tabloom.operators import features as feat
 from tabloom.operators.aggregates import word_count
-from tabloom.plans import with_position
+from tabloom.plans import spread, with_position
 from tabloom.queries import fixtures as fx
 from tabloom.queries.registry import query, table
 from tabloom.queries.rows import STOPS_SQL
@@ -102,9 +102,12 @@ def e08(spark, sf):
     return feat.bag_of_words(table(spark, sf, "documents"), "doc_id", "text")
 
 
-@query("e09_hashing_tf")
+@query(
+    "e09_hashing_tf",
+    "SELECT doc_id, CAST(len(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]{2,}')) AS DOUBLE) AS n FROM documents",
+)
 def e09(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", text.words(F.col("text")).alias("tokens"))
+    docs = spread(table(spark, sf, "documents")).select("doc_id", text.words(F.col("text")).alias("tokens"))
     return feat.hashing_tf(docs, "tokens").select("doc_id", F.aggregate(
         vector_to_array("features"), F.lit(0.0), lambda a, v: a + v).alias("n"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, NaiveBayes
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
@@ -201,6 +202,19 @@ def m26(spark, sf):
     return models.partial_dependence(model, rows, "price", [50.0, 150.0, 250.0, 350.0])
 
 
+@query(
+    "m26_partial_dependence_linear",
+    """WITH f AS (SELECT regr_intercept(l_extendedprice, l_quantity) AS a, regr_slope(l_extendedprice, l_quantity) AS b, count(*) AS n FROM lineitem)
+    SELECT value, round(a + b * value, 3) AS mean_score, n AS rows FROM f, (VALUES (1.0::DOUBLE), (25.0::DOUBLE), (50.0::DOUBLE)) AS t(value)""",
+)
+def m26_linear(spark, sf):
+    lines = table(spark, sf, "lineitem").select("l_quantity", F.col("l_extendedprice").alias("label"))
+    vectors = VectorAssembler(inputCols=["l_quantity"], outputCol="features")
+    model = PipelineModel([vectors, models.linreg(vectors.transform(lines), solver="normal")])
+    out = models.partial_dependence(model, lines, "l_quantity", [1.0, 25.0, 50.0], score="prediction")
+    return out.withColumn("mean_score", F.round("mean_score", 3))
+
+
 # --- user functions and lifecycle -------------------------------------------------------------
 
 

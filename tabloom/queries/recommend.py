@@ -265,6 +265,20 @@ def r17(spark, sf):
     return rec.svd_recommend(train, test.select("user_id", "item_id", "rating"), 10)
 
 
+@query(
+    "r17_svd_full_rank",
+    f"""WITH {PART_SQL}, im AS (SELECT item_id, avg(rating) AS m FROM train GROUP BY 1)
+    SELECT user_id, item_id, round(rating, 6)::DOUBLE AS score FROM train
+    UNION ALL SELECT user_id, item_id, round(coalesce(m, 3), 6) FROM test LEFT JOIN im USING (item_id)""",
+)
+def r17_full(spark, sf):
+    """With every component kept, rated pairs come back and all others give the item's mean."""
+    train, test = parts(spark, sf)
+    asked = train.select("user_id", "item_id").unionByName(test.select("user_id", "item_id"))
+    out = rec.svd_recommend(train, asked, train.select("item_id").distinct().count())
+    return out.withColumn("score", F.round("score", 6))
+
+
 @query("r18_matrix_factorisation")
 def r18(spark, sf):
     train, test = parts(spark, sf)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tabloom.functions import clf, text
 from tabloom.operators import rows
+from tabloom.plans import spread
 from tabloom.queries import fixtures as fx
 from tabloom.queries.registry import query, table
 
@@ -281,7 +282,7 @@ STOPS_SQL = "[" + ", ".join(f"'{w}'" for w in text.STOP_WORDS) + "]"
       lambda w: NOT list_contains({STOPS_SQL}, lower(w))), ' ')) AS text FROM documents""",
 )
 def f15(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", text.normalize_text(F.col("text")).alias("text"))
+    return spread(table(spark, sf, "documents")).select("doc_id", text.normalize_text(F.col("text")).alias("text"))
 
 
 @query(
@@ -300,7 +301,7 @@ TOKENS_SQL = r"""list_filter(list_transform(
 
 @query("f17_tokenize", f"SELECT doc_id, array_to_string({TOKENS_SQL}, ' ') AS tokens FROM documents")
 def f17(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.array_join(text.tokenize(F.col("text")), " ").alias("tokens"))
+    return spread(table(spark, sf, "documents")).select("doc_id", F.array_join(text.tokenize(F.col("text")), " ").alias("tokens"))
 
 
 @query(
@@ -310,7 +311,7 @@ def f17(spark, sf):
 )
 def f18(spark, sf):
     kept = text.remove_stopwords(text.tokenize(F.col("text")))
-    return table(spark, sf, "documents").select("doc_id", F.array_join(kept, " ").alias("tokens"))
+    return spread(table(spark, sf, "documents")).select("doc_id", F.array_join(kept, " ").alias("tokens"))
 
 
 @query(

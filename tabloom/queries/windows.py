@@ -135,7 +135,11 @@ def w12(spark, sf):
     return win.union_all(*[p.withColumn("kind", F.lit(i)) for i, p in enumerate(parts)])
 
 
-@query("w13_random_split")
+@query(
+    "w13_random_split",
+    """SELECT o_orderkey, CASE WHEN ('0x' || substr(md5('5|' || o_orderkey), 1, 8))::BIGINT / 4294967296 < 0.8::DOUBLE THEN 'train' ELSE 'test' END AS part
+    FROM orders""",
+)
 def w13(spark, sf):
     train, test = win.split(table(spark, sf, "orders").select("o_orderkey"), [0.8, 0.2], ["o_orderkey"], 5)
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
@@ -161,7 +165,10 @@ def w15(spark, sf):
     return win.split_items(fx.ratings(spark, sf)).select("user_id", "item_id", "for_training")
 
 
-@query("w16_kfold")
+@query(
+    "w16_kfold",
+    "SELECT o_orderkey, CAST(('0x' || substr(md5('1|' || o_orderkey), 1, 8))::BIGINT % 5 AS INTEGER) AS fold FROM orders",
+)
 def w16(spark, sf):
     return win.kfold(table(spark, sf, "orders").select("o_orderkey"), 5, ["o_orderkey"], 1)
 

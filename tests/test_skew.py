@@ -18,6 +18,7 @@ from tabloom.plans import (
     exact_percentiles,
     nearest_neighbours,
     pair_sums,
+    percentile_within,
     row_number_within,
     with_position,
 )
@@ -71,6 +72,23 @@ def test_percentiles(spark, fractions):
     assert exact_percentiles(df, "x", fractions) == pytest.approx(list(np.quantile(values, fractions)))
 
 
+@pytest.mark.parametrize("fraction", [0.0, 0.33, 0.5, 0.85, 1.0])
+def test_percentile_within(ratings, fraction):
+    plain = percentile_within(ratings, ["user_id"], "ts", fraction)
+    split = percentile_within(ratings, ["user_id"], "ts", fraction, hot_rows=0)
+    got = {r["user_id"]: r["percentile"] for r in split.collect()}
+    assert got == pytest.approx({r["user_id"]: r["percentile"] for r in plain.collect()})
+    values = {}
+    for r in ratings.collect():
+        values.setdefault(r["user_id"], []).append(r["ts"])
+    assert got == pytest.approx({u: float(np.quantile(v, fraction)) for u, v in values.items()})
+
+
+def test_large_exact_sample(spark):
+    df = spark.range(200_500)
+    assert win.sample_exact(df, 150_000).distinct().count() == 150_000
+
+
 @pytest.mark.parametrize("blocks", [{}, {"rows_per_block": 3, "cols_per_chunk": 9}])
 def test_pair_sums(ratings, blocks):
     data = {}
