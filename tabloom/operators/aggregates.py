@@ -231,10 +231,26 @@ def mean_median(df: DataFrame, column: str) -> DataFrame:
     return df.agg(F.avg(column).alias("mean"), F.lit(median).alias("median"))
 
 
+def average_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Each column replaced by its rank; equal values share the mean of their ranks.
+
+    Values are counted, the distinct ones ranked by a distributed sort, and the ranks joined
+    back by value, so no column is sorted whole in one place.
+    """
+    for c in columns:
+        placed = with_position(count_by(df, c, name="_n"), [c], "_pos", {"_upto": F.col("_n")})
+        ranks = placed.select(c, (F.col("_upto") - (F.col("_n") - 1) / 2).alias("_rank"))
+        df = df.join(ranks, c).drop(c).withColumnRenamed("_rank", c)
+    return df
+
+
 def corr_matrix(df: DataFrame, columns: Sequence[str], method: str = "pearson") -> DataFrame:
     """(a, b, corr) for all pairs of columns, the matrix in long form."""
-    vectors = VectorAssembler(inputCols=list(columns), outputCol="_vec", handleInvalid="skip").transform(df)
-    matrix = Correlation.corr(vectors, "_vec", method).first()[0].toArray()
+    rows = df.select(*columns).dropna()
+    if method == "spearman":
+        rows = average_ranks(rows, columns)
+    vectors = VectorAssembler(inputCols=list(columns), outputCol="_vec").transform(rows)
+    matrix = Correlation.corr(vectors, "_vec").first()[0].toArray()
     cells = [(a, b, float(matrix[i][j])) for i, a in enumerate(columns) for j, b in enumerate(columns)]
     return df.sparkSession.createDataFrame(cells, "a string, b string, corr double")
 

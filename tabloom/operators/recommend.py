@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tabloom.operators.aggregates import segment_users
 from tabloom.operators.topn import first_unseen
-from tabloom.plans import block_product, nearest_neighbours, pair_sums, percentile_within, with_position, written
+from tabloom.plans import block_product, nearest_neighbours, pair_sums, percentile_within, top_products, with_position, written
 
 # --- without personalisation ----------------------------------------------------------------
 
@@ -180,10 +180,8 @@ def cosine_sim(table: DataFrame, row: str, col: str, value: str) -> DataFrame:
 
 def similar_docs(weights: DataFrame, key: str, k: int = 1) -> DataFrame:
     """(doc, near, sim, rank): the k most similar documents by TF-IDF rows of length 1."""
-    pairs = pair_sums(weights, key, "term", "weight").select("a", "b", F.col("sum_ab").alias("sim"))
-    both = _both_ways(pairs, "doc", "near", "sim")
-    order = Window.partitionBy("doc").orderBy(F.desc(F.round("sim", 9)), "near")
-    return both.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    best = top_products(weights, key, "term", "weight", k)
+    return best.select(F.col("a").alias("doc"), F.col("b").alias("near"), F.col("score").alias("sim"), "rank")
 
 
 # --- neighbourhood predictions --------------------------------------------------------------
@@ -298,17 +296,24 @@ def svd_recommend(train: DataFrame, asked: DataFrame, k: int = 10) -> DataFrame:
     """Add ``score`` from the rank-k rebuild of the centred matrix; an unknown item scores 3."""
     codes, factors = svd_factors(train, k)
     factors = written(factors, "svd")
-    centred = train.join(codes.select("item_id", "mean"), "item_id").withColumn("_c", F.col("rating") - F.col("mean"))
-    users = centred.join(factors, "item_id").groupBy("user_id", "f").agg(F.sum(F.col("_c") * F.col("v")).alias("u"))
-    dot = (
-        asked.select("user_id", "item_id").join(factors, "item_id").join(users, ["user_id", "f"])
-        .groupBy("user_id", "item_id").agg(F.sum(F.col("u") * F.col("v")).alias("_dot"))
+    centred = train.join(codes.select("item_id", "mean"), "item_id").select(
+        F.col("user_id").alias("i"), F.col("item_id").alias("k"), (F.col("rating") - F.col("mean")).alias("a")
     )
-    out = asked.join(codes.select("item_id", "mean"), "item_id", "left").join(dot, ["user_id", "item_id"], "left")
-    score = F.when(F.col("mean").isNull(), F.lit(3.0)).otherwise(F.col("mean") + F.coalesce("_dot", F.lit(0.0)))
+    users = block_product(centred, factors.select(F.col("item_id").alias("k"), F.col("f").alias("j"), "v"), ["v"])
+    of_user = _as_arrays(users.withColumnsRenamed({"i": "user_id", "j": "f"}), "user_id", "_u")
+    of_item = _as_arrays(factors, "item_id", "_i")
+    out = asked.join(codes.select("item_id", "mean"), "item_id", "left").join(of_item, "item_id", "left").join(of_user, "user_id", "left")
+    dot = F.aggregate(F.zip_with("_u", "_i", lambda u, v: u * v), F.lit(0.0), lambda a, x: a + x)
+    score = F.when(F.col("mean").isNull(), F.lit(3.0)).otherwise(F.col("mean") + F.coalesce(dot, F.lit(0.0)))
     return out.select(*asked.columns, score.alias("score"))
 
 
+def _as_arrays(long: DataFrame, key: str, name: str) -> DataFrame:
+    """(key, array) from (key, f, v): as long as the number of factors."""
+    pairs = F.array_sort(F.collect_list(F.struct("f", "v")))
+    return long.groupBy(key).agg(F.transform(pairs, lambda p: p["v"]).alias(name))
+
+
 def mf_fit(train: DataFrame, rank: int = 10, reg: float = 0.1, iterations: int = 10, seed: int = 0):
     """Regularised matrix factorisation by alternating least squares.
 

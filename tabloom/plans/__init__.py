@@ -10,7 +10,7 @@ from tabloom.plans.ordering import (
     row_number_within,
     with_position,
 )
-from tabloom.plans.pairs import pair_sums
+from tabloom.plans.pairs import pair_sums, top_products
 from tabloom.plans.storage import checkpointed, scratch_path, shared_dir, spread, written
 
 __all__ = [
@@ -26,6 +26,7 @@ __all__ = [
     "scratch_path",
     "shared_dir",
     "spread",
+    "top_products",
     "with_position",
     "written",
 ]

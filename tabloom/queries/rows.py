@@ -157,12 +157,12 @@ def f01(spark, sf):
 
 @query(
     "f02_log_time",
-    f"WITH {fx.LOG_SQL} SELECT event_id, CAST(epoch(date_time) AS BIGINT) AS seconds FROM logs",
+    f"WITH {fx.LOG_SQL} SELECT event_id, strftime(date_time, '%Y/%m/%d %H-%M-%S') AS time FROM logs",
 )
 def f02(spark, sf):
     time = F.regexp_extract("line", r"\[([^\]]+)\]", 1)
     lines = fx.log_lines(spark, sf).filter(F.col("line").contains("["))
-    return lines.select("event_id", F.unix_timestamp(clf.parse_clf_time(time)).alias("seconds"))
+    return lines.select("event_id", F.date_format(clf.parse_clf_time(time), "yyyy/MM/dd HH-mm-ss").alias("time"))
 
 
 @query("f03_log_size", f"WITH {fx.LOG_SQL} SELECT event_id, content_size FROM logs")

@@ -9,7 +9,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from tabloom.plans import scratch_path
+from tabloom.plans import scratch_path, spread
 from tabloom.queries import fixtures as fx
 from tabloom.queries.registry import query, table
 from tabloom.sources import readers, writers
@@ -148,7 +148,7 @@ def s11(spark, sf):
 @query("s12_read_html_docs", "SELECT page_id AS id, html FROM pages")
 def s12(spark, sf):
     path = scratch_path(spark, "html")
-    pages = table(spark, sf, "pages").select("page_id", "html")
+    pages = spread(table(spark, sf, "pages").select("page_id", "html"))
     pages.write.partitionBy("page_id").text(path)
     return readers.read_html_docs(spark, path, r"page_id=(\d+)/").select("id", "html")
 

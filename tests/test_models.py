@@ -213,3 +213,15 @@ def test_correlations_agree(spark, small):
     a = {(r["a"], r["b"]): r["corr"] for r in agg.corr_matrix(lines, columns).collect()}
     b = {(r["a"], r["b"]): r["corr"] for r in agg.corr_pairs(lines, columns).collect()}
     assert a == pytest.approx(b)
+
+
+def test_spearman_matches_library(spark, small):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+
+    lines = spark.read.parquet(f"{small}/lineitem.parquet")
+    columns = ["l_quantity", "l_discount", "l_extendedprice"]
+    got = {(r["a"], r["b"]): r["corr"] for r in agg.corr_matrix(lines, columns, "spearman").collect()}
+    vectors = VectorAssembler(inputCols=columns, outputCol="v").transform(lines)
+    want = Correlation.corr(vectors, "v", "spearman").first()[0].toArray()
+    assert got == pytest.approx({(a, b): want[i][j] for i, a in enumerate(columns) for j, b in enumerate(columns)}, abs=1e-9)

@@ -20,6 +20,7 @@ from tabloom.plans import (
     pair_sums,
     percentile_within,
     row_number_within,
+    top_products,
     with_position,
 )
 
@@ -104,6 +105,20 @@ def test_pair_sums(ratings, blocks):
     assert got == want
 
 
+@pytest.mark.parametrize("rows_per_block", [1024, 4])
+def test_top_products(ratings, rows_per_block):
+    data = {}
+    for r in ratings.collect():
+        data.setdefault(r["user_id"], {})[r["item_id"]] = r["rating"]
+    got = {}
+    for r in top_products(ratings, "user_id", "item_id", "rating", 3, rows_per_block=rows_per_block).collect():
+        got[(r["a"], r["rank"])] = (r["b"], r["score"])
+    for a in data:
+        scores = {b: float(sum(v * data[b][i] for i, v in data[a].items() if i in data[b])) for b in data if b != a}
+        best = sorted((b for b in scores if scores[b] > 0), key=lambda b: (-scores[b], b))[:3]
+        assert [got[(a, n + 1)] for n in range(len(best))] == [(b, scores[b]) for b in best]
+
+
 @pytest.mark.parametrize("block_rows", [None, 7])
 def test_nearest_neighbours(spark, block_rows):
     rng = np.random.default_rng(0)
