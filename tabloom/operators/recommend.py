@@ -200,34 +200,98 @@ def _weighted_means(sims: DataFrame, ratings: DataFrame, inner: str, outer: str)
     return sums.filter(F.col("has") > 1e-12).select("i", "j", (F.col("rated") / F.col("has")).alias("score"))
 
 
-def cf_scores(train: DataFrame, sims: DataFrame) -> DataFrame:
-    """(user_id, item_id, score): sum(sim * r) / sum(sim) over the raters of each item.
-
-    A user never counts as an own neighbour, since pairs are a < b.
+def _similarity(method: str, min_common: int, n, a, b, aa, bb, ab) -> np.ndarray:
+    """Similarity matrix from sums over shared items; 0 where undefined, negative or too few."""
+    enough = n >= max(2, min_common)
+    if method == "euclid":
+        return np.where(enough, 1 / (1 + np.sqrt(np.maximum(aa + bb - 2 * ab, 0))), 0.0)
+    cross, var_a, var_b = n * ab - a * b, n * aa - a * a, n * bb - b * b
+    usable = enough & (cross > 0) & (var_a > 1e-9) & (var_b > 1e-9)
+    return np.divide(cross, np.sqrt(var_a * var_b, where=usable, out=np.ones_like(cross)), where=usable, out=np.zeros_like(cross))
+
+
+def _block_scores(method: str, min_common: int, slice_cols: int = 2048):
+    def dense(frame: pd.DataFrame, at: np.ndarray, rows: int, cols: np.ndarray):
+        place = np.searchsorted(cols, frame["item"].to_numpy())
+        inside = frame["item"].isin(cols).to_numpy()
+        values, has = np.zeros((rows, len(cols))), np.zeros((rows, len(cols)))
+        values[at[inside], place[inside]] = frame["rating"].to_numpy()[inside]
+        has[at[inside], place[inside]] = 1.0
+        return values, has
+
+    def cell(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        users, at_l = np.unique(left["user"].to_numpy(), return_inverse=True)
+        others, at_r = np.unique(right["user"].to_numpy(), return_inverse=True)
+        sums = [np.zeros((len(users), len(others))) for _ in range(6)]
+        shared = np.intersect1d(left["item"].to_numpy(), right["item"].to_numpy())
+        for low in range(0, len(shared), slice_cols):
+            cols = shared[low : low + slice_cols]
+            va, ha = dense(left, at_l, len(users), cols)
+            vb, hb = dense(right, at_r, len(others), cols)
+            for total, part in zip(sums, ((ha, hb), (va, hb), (ha, vb), (va * va, hb), (ha, vb * vb), (va, vb))):
+                total += part[0] @ part[1].T
+        sim = _similarity(method, min_common, *sums)
+        sim[users[:, None] == others[None, :]] = 0.0
+        out = []
+        items = np.unique(right["item"].to_numpy())
+        for low in range(0, len(items), slice_cols):
+            cols = items[low : low + slice_cols]
+            vb, hb = dense(right, at_r, len(others), cols)
+            num, den = sim @ vb, sim @ hb
+            r, c = np.nonzero(den > 0)
+            out.append(pd.DataFrame({"user_id": users[r], "item_id": cols[c], "num": num[r, c], "den": den[r, c]}))
+        return pd.concat(out) if out else pd.DataFrame({"user_id": [], "item_id": [], "num": [], "den": []})
+
+    return cell
+
+
+def cf_scores(
+    train: DataFrame, min_common: int = 1, method: str = "pearson", *, left_rows: int = 512, right_rows: int = 4096
+) -> DataFrame:
+    """(user_id, item_id, score): sum(sim * r) / sum(sim) over the other raters of each item.
+
+    A task meets a block of users with a block of possible neighbours, forms their similarities
+    and adds them up over the neighbours' ratings at once. The matrix of user similarities is
+    never written out: a task emits one sum per user and item.
     """
-    return _weighted_means(sims, train, "user_id", "item_id").select(
-        F.col("i").alias("user_id"), F.col("j").alias("item_id"), "score"
+    n_users = train.agg(F.approx_count_distinct("user_id")).first()[0]
+    n_left, n_right = (max(1, -(-n_users // size)) for size in (left_rows, right_rows))
+
+    def copies(own: str, n_own: int, other: str, n_other: int) -> DataFrame:
+        return train.select(
+            F.col("user_id").alias("user"), F.col("item_id").alias("item"), F.col("rating").cast("double").alias("rating"),
+            F.pmod(F.xxhash64("user_id"), F.lit(n_own)).cast("int").alias(own),
+            F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))).alias(other),
+        )
+
+    kinds = ", ".join(f"{c} {train.schema[c].dataType.simpleString()}" for c in ("user_id", "item_id"))
+    sums = (
+        copies("i", n_left, "j", n_right).groupBy("i", "j")
+        .cogroup(copies("j", n_right, "i", n_left).groupBy("i", "j"))
+        .applyInPandas(_block_scores(method, min_common), f"{kinds}, num double, den double")
     )
+    totals = sums.groupBy("user_id", "item_id").agg(F.sum("num").alias("_num"), F.sum("den").alias("_den"))
+    return totals.filter(F.col("_den") > 1e-12).select("user_id", "item_id", (F.col("_num") / F.col("_den")).alias("score"))
 
 
-def cf_predict(train: DataFrame, asked: DataFrame, sims: DataFrame) -> DataFrame:
+def cf_predict(train: DataFrame, asked: DataFrame, min_common: int = 1, method: str = "pearson") -> DataFrame:
     """Add ``score`` to the asked (user_id, item_id) pairs; the item's mean, then the user's
     mean, stand in where no similar user has rated the item."""
     items = train.groupBy("item_id").agg(F.avg("rating").alias("_item_mean"))
     users = train.groupBy("user_id").agg(F.avg("rating").alias("_user_mean"))
-    scored = asked.join(cf_scores(train, sims), ["user_id", "item_id"], "left")
+    scored = asked.join(cf_scores(train, min_common, method), ["user_id", "item_id"], "left")
     filled = scored.join(items, "item_id", "left").join(users, "user_id", "left")
     return filled.select(*asked.columns, F.coalesce("score", "_item_mean", "_user_mean").alias("score"))
 
 
-def cf_topn(train: DataFrame, sims: DataFrame, n: int = 5) -> DataFrame:
+def cf_topn(train: DataFrame, n: int = 5, min_common: int = 1, method: str = "pearson") -> DataFrame:
     """(user_id, item_id, rank, score): the n best unseen items by predicted rating.
 
     Pairs without a similar rater fall back to the item's mean. For these only the first n by
     mean can matter, so no full list of user-item pairs is made.
     """
     pairs = ["user_id", "item_id"]
-    scored = written(cf_scores(train, sims), "cf-scores")
+    scored = written(cf_scores(train, min_common, method), "cf-scores")
     means = train.groupBy("item_id").agg(F.avg("rating").alias("score"))
     done = train.select(*pairs).unionByName(scored.select(*pairs))
     rest = first_unseen(done, means, [F.desc(F.round("score", 9)), F.col("item_id")], n).drop("rank").join(means, "item_id")

@@ -242,7 +242,7 @@ CF_SQL = f"""{PART_SQL}, {SHARED_SQL.format('train')},
 def r15(spark, sf):
     train, test = parts(spark, sf)
     asked = test.select("user_id", "item_id", "rating")
-    return rec.cf_predict(train, asked, rec.user_sim_pearson(train, 6)).withColumn("score", F.round("score", 6))
+    return rec.cf_predict(train, asked, 6).withColumn("score", F.round("score", 6))
 
 
 @query(
@@ -256,7 +256,7 @@ def r15(spark, sf):
 )
 def r16(spark, sf):
     train, _ = parts(spark, sf)
-    return rec.cf_topn(train, rec.user_sim_pearson(train, 6), 5).withColumn("score", F.round("score", 6))
+    return rec.cf_topn(train, 5, 6).withColumn("score", F.round("score", 6))
 
 
 @query("r17_svd_recommend")
@@ -331,7 +331,7 @@ def r21(spark, sf):
 )
 def r22(spark, sf):
     train, _ = parts(spark, sf)
-    return rec.recommend_hybrid(train, rec.cf_topn(train, rec.user_sim_pearson(train, 6), 5), 5)
+    return rec.recommend_hybrid(train, rec.cf_topn(train, 5, 6), 5)
 
 
 @query(

@@ -70,24 +70,24 @@ def s07(spark, sf):
 
 @query(
     "s08_read_ratings",
-    f"""WITH {fx.RATINGS_SQL}, {fx.USERS_SQL}, {fx.MOVIES_SQL}
-    SELECT r.user_id, r.item_id, CAST(rating AS DOUBLE) AS rating, gender, occupation, title, genres
-    FROM ratings r JOIN users u ON r.user_id = u.user_id JOIN movies m ON r.item_id = m.item_id""",
+    f"""WITH {fx.RATINGS_SQL}, {fx.MOVIES_SQL}
+    SELECT r.user_id, r.item_id, CAST(rating AS DOUBLE) AS rating, CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender,
+      c_nationkey AS occupation, title, genres
+    FROM ratings r JOIN customer ON r.user_id = c_custkey JOIN movies m ON r.item_id = m.item_id""",
 )
 def s08(spark, sf):
     folder = scratch_path(spark, "ratings")
+    people = table(spark, sf, "customer").selectExpr(
+        "concat_ws('::', c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END, 25, c_nationkey, '08001') AS value"
+    )
     lines = {
         "ratings": fx.ratings(spark, sf).selectExpr("concat_ws('::', user_id, item_id, rating, unix_timestamp(ts)) AS value"),
-        "users": fx.users(spark, sf).selectExpr("concat_ws('::', user_id, gender, 25, occupation, '08001') AS value"),
+        "users": people,
         "movies": fx.movies(spark, sf).selectExpr("concat_ws('::', item_id, title, genres) AS value"),
     }
     for name, df in lines.items():
         df.write.option("encoding", "ISO-8859-1").text(f"{folder}/{name}.dat")
-    read = {n: readers.read_separated(spark, f"{folder}/{n}.dat", s) for n, s in (
-        ("ratings", readers.RATINGS),
-        ("users", readers.USERS.replace("occupation int", "occupation string")),
-        ("movies", readers.MOVIES),
-    )}
+    read = readers.read_ratings(spark, folder)
     joined = read["ratings"].join(read["users"], "user_id").join(read["movies"], "item_id")
     return joined.select("user_id", "item_id", "rating", "gender", "occupation", "title", "genres")
 

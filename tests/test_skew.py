@@ -285,3 +285,24 @@ def test_user_similarity(ratings, by):
             elif x.std() > 0 and y.std() > 0:
                 want = max(0.0, np.corrcoef(x, y)[0, 1])
         assert got.get((a, b), 0.0) == pytest.approx(want, abs=1e-9)
+
+
+@pytest.mark.parametrize("method", ["pearson", "euclid"])
+@pytest.mark.parametrize("sizes", [{}, {"left_rows": 2, "right_rows": 5}])
+def test_neighbourhood_scores(ratings, method, sizes):
+    """Blocks fused over neighbours against the formula with the pairwise similarities."""
+    fn = rec.user_sim_euclid if method == "euclid" else rec.user_sim_pearson
+    sims = {}
+    for r in fn(ratings, 3).collect():
+        sims[(r["a"], r["b"])] = sims[(r["b"], r["a"])] = r["sim"]
+    by_item = {}
+    for r in ratings.collect():
+        by_item.setdefault(r["item_id"], {})[r["user_id"]] = r["rating"]
+    want = {}
+    for u in range(13):
+        for i, raters in by_item.items():
+            den = sum(sims.get((u, v), 0.0) for v in raters)
+            if den > 1e-12:
+                want[(u, i)] = sum(sims.get((u, v), 0.0) * x for v, x in raters.items()) / den
+    got = {(r["user_id"], r["item_id"]): r["score"] for r in rec.cf_scores(ratings, 3, method, **sizes).collect()}
+    assert got == pytest.approx(want)
