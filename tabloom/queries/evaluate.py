@@ -107,6 +107,20 @@ def m24_plane(spark, sf):
     return long.groupBy("pc").agg(F.round(F.var_samp("value"), 9).alias("variance"))
 
 
+@query("m25_low_rank_energy", f"WITH {fx.ENTRIES_SQL} SELECT id, round(sum(value * value), 6) AS energy FROM entries GROUP BY 1")
+def m25_energy(spark, sf):
+    """Row by row, the squares of the approximation and of what it misses add up to the row's own."""
+    rows = fx.vectors(spark, sf).select("id", "vec")
+    near, _ = linalg.low_rank(rows, 5)
+
+    def square(col):
+        return F.aggregate(col, F.lit(0.0), lambda a, v: a + v * v)
+
+    both = rows.join(near.withColumnRenamed("vec", "near"), "id")
+    missed = F.zip_with("vec", "near", lambda a, b: a - b)
+    return both.select("id", F.round(square(F.col("near")) + square(missed), 6).alias("energy"))
+
+
 @query(
     "m25_low_rank_plane",
     f"""WITH {fx.POINTS_SQL}, s AS (SELECT sum(x * x) AS a, sum(x * y) AS b, sum(y * y) AS c, count(*) AS n FROM points),
@@ -197,6 +211,15 @@ def m27(spark, sf):
     return assigned.select("id", "cluster")
 
 
+@query("m27_kmeans_nearest", f"WITH {fx.POINTS_SQL} SELECT id, true AS nearest FROM points")
+def m27_nearest(spark, sf):
+    """Every point must sit with the nearest of the fitted centres."""
+    dims = ["x", "y"]
+    assigned, centres, _ = cluster.kmeans(fx.points(spark, sf), dims, 4)
+    again = cluster.nearest_centre(assigned.withColumnRenamed("cluster", "given"), dims, centres)
+    return again.select("id", (F.col("cluster") == F.col("given")).alias("nearest"))
+
+
 @query(
     "m28_kmeans_step",
     f"""WITH {fx.POINTS_SQL}, {CENTRES_SQL}, d AS (SELECT id, x, y, k, row_number() OVER (PARTITION BY id ORDER BY (x - cx) * (x - cx) + (y - cy) * (y - cy), k) AS rn

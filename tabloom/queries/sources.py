@@ -7,6 +7,7 @@ import uuid
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tabloom.plans import scratch_path, spread
@@ -259,13 +260,17 @@ def s22(spark, sf):
     return spark.read.option("header", True).schema("user_id long, prediction string").csv(path)
 
 
-@query("s23_save_load_model")
+@query("s23_save_load_model", f"WITH {fx.SCORED_SQL} SELECT doc_id, true AS same FROM scored")
 def s23(spark, sf):
+    """A reloaded pipeline must score every row as the fitted one does."""
     path = scratch_path(spark, "model")
     data = fx.scored(spark, sf)
     stages = [VectorAssembler(inputCols=["score"], outputCol="features"), LogisticRegression(maxIter=5)]
-    writers.save_model(Pipeline(stages=stages).fit(data), path)
-    return writers.load_model(path).transform(data).select("doc_id", "prediction")
+    fitted = Pipeline(stages=stages).fit(data)
+    writers.save_model(fitted, path)
+    before = fitted.transform(data).select("doc_id", vector_to_array("probability").alias("before"))
+    after = writers.load_model(path).transform(data).select("doc_id", vector_to_array("probability").alias("after"))
+    return before.join(after, "doc_id").select("doc_id", (F.col("before") == F.col("after")).alias("same"))
 
 
 @query(

@@ -225,3 +225,17 @@ def test_spearman_matches_library(spark, small):
     vectors = VectorAssembler(inputCols=columns, outputCol="v").transform(lines)
     want = Correlation.corr(vectors, "v", "spearman").first()[0].toArray()
     assert got == pytest.approx({(a, b): want[i][j] for i, a in enumerate(columns) for j, b in enumerate(columns)}, abs=1e-9)
+
+
+def test_model_auc_uses_the_probability(spark):
+    df = spark.range(100).select("id", F.col("id").cast("double").alias("a"), (F.col("id") > 60).cast("double").alias("label"))
+    vectors = feat.assemble(df, ["a"])
+    assert models.model_auc(models.logreg(vectors, reg=0.1).transform(vectors)).first()["auc"] == pytest.approx(1.0)
+
+
+def test_co_ratings(spark):
+    from tabloom.operators import joins
+
+    ratings = spark.createDataFrame([(1, 7, 5), (1, 8, 3), (2, 8, 4), (2, 9, 1)], "user_id long, item_id long, rating int")
+    assert [tuple(r) for r in joins.co_ratings(ratings, 1, 2).collect()] == [(8, 3, 4)]
+    assert [tuple(r) for r in joins.co_rating_counts(ratings).collect()] == [(1, 2, 1)]
