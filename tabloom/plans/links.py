@@ -11,7 +11,7 @@ from tabloom.plans.storage import scratch_path, written
 
 
 class KeyedLinks:
-    """A link table bucketed by its key and a part number.
+    """A link table bucketed by its key, and by a part number where keys are hot.
 
     A key with more than ``rows_per_part`` links has several parts, and a value sent along its
     links is copied once per part; all other keys have one. Joining values to links then
@@ -19,27 +19,27 @@ class KeyedLinks:
     """
 
     def __init__(self, links: DataFrame, key: str, rows_per_part: int = 500_000):
-        self.spark, self.key = links.sparkSession, key
+        self.spark, self.key, self.columns = links.sparkSession, key, links.columns
         sizes = links.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / rows_per_part).cast("int").alias("_parts"))
         self.hot = written(sizes.filter("_parts > 1"), "hot-keys")
-        parts = F.coalesce("_parts", F.lit(1))
-        placed = links.join(self.hot, key, "left").withColumn(
-            "_part", F.pmod(F.xxhash64(*links.columns), parts).cast("int")
-        )
+        self.by = [key] if self.hot.isEmpty() else [key, "_part"]
+        if len(self.by) > 1:
+            part = F.pmod(F.xxhash64(*self.columns), F.coalesce("_parts", F.lit(1))).cast("int")
+            links = links.join(self.hot, key, "left").select(*self.columns, part.alias("_part"))
         self.name = f"tabloom_links_{uuid.uuid4().hex}"
         buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         # One task per bucket writes one file per bucket.
-        placed = placed.drop("_parts").repartition(buckets, key, "_part")
-        writer = placed.write.bucketBy(buckets, key, "_part").sortBy(key, "_part")
+        writer = links.repartition(buckets, *self.by).write.bucketBy(buckets, *self.by).sortBy(*self.by)
         writer.option("path", scratch_path(self.spark, "links")).saveAsTable(self.name)
         self.table = self.spark.table(self.name)
 
     def send(self, values: DataFrame) -> DataFrame:
         """Every link with the value row of its key."""
-        copies = values.join(self.hot, self.key, "left").withColumn(
-            "_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
-        )
-        return self.table.join(copies.drop("_parts"), [self.key, "_part"]).drop("_part")
+        if len(self.by) > 1:
+            values = values.join(self.hot, self.key, "left").withColumn(
+                "_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
+            ).drop("_parts")
+        return self.table.join(values, self.by).drop("_part")
 
     def close(self) -> None:
         """Forget the table; results built from it must be checkpointed by now."""
