@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import bpe, dedup, pii, urls
+from tabloom.llm import bpe, dedup, pii, secrets, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -66,3 +66,29 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
   doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
+
+
+#: Scores from here on are predicted toxic.
+TOXIC_FROM = 0.3
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = toxicity.fit(docs, table(spark, sf, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"), "hits"
+    )
+
+
+@query
+def op6_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    found = secrets.find(docs, secrets.fit(docs))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = joined(F.filter("spans", lambda s: s["kind"] != "crf"))
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"), F.sha2(base.cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"), count("crf"),
+    )
