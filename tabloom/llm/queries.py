@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import bpe, dedup, pii, secrets, toxicity, urls
+from tabloom.llm import bpe, dedup, main_text, neighbours, packing, pii, secret_scan, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -84,7 +84,7 @@ def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op6_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
-    found = secrets.find(docs, secrets.fit(docs))
+    found = secret_scan.find(docs, secret_scan.fit(docs))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     base = joined(F.filter("spans", lambda s: s["kind"] != "crf"))
@@ -92,3 +92,20 @@ def op6_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", count("assign"), count("access"), count("hex"), F.sha2(base.cast("binary"), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"), count("crf"),
     )
+
+
+@query
+def op2_html_main_text(spark: SparkSession, sf: str) -> DataFrame:
+    pages = table(spark, sf, "pages")
+    texts = main_text.extract(pages, main_text.fit(pages))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query
+def op9_nearest_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    return neighbours.search(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op5_bm25_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
