@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import bpe, dedup, main_text, neighbours, packing, pii, secret_scan, toxicity, urls
+from tabloom.llm import bpe, dedup, jaccard, main_text, neighbours, packing, pii, secret_scan, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -109,3 +109,8 @@ def op9_nearest_vectors(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op5_bm25_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op7_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.near_classes(table(spark, sf, "documents"))

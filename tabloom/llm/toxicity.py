@@ -305,3 +305,15 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     rows = docs.select(F.col(key).alias("key"), text_of(text).alias("text"))
     out = "key {}, score double, hits array<struct<word:bigint,edits:int,stem:string,quoted:boolean>>"
     return rows.mapInArrow(work, out.format(kind)).withColumnRenamed("key", key)
+
+
+def drop_toxic(docs: DataFrame, model: Model, least: float, text: str = "text") -> DataFrame:
+    """The rows whose whole text scores below ``least``, with all their columns. Null texts count as empty."""
+    at = docs.columns.index(text)
+
+    def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            scores = [float(np.dot(features(*model.hits(t or ""), model.odds), model.weights)) for t in part.column(at).to_pylist()]
+            yield part.filter(pa.array([1 / (1 + math.exp(-max(-30.0, min(30.0, s)))) < least for s in scores], pa.bool_()))
+
+    return docs.mapInArrow(work, docs.schema)
