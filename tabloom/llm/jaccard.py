@@ -2,7 +2,7 @@
 
 N-grams have one order everywhere: those known to be frequent last, by their counts, the rest by hash.
 Two similar sets share one of the first n - ceil(t n) + 1 n-grams of each (the prefix), so documents
-meet under shared prefix n-grams only. Where they meet, a block of whole sets is stored in a trie and
+meet under shared n-grams of prefixes only. Where they meet, a block of whole sets is stored in a trie and
 joined with itself: a set walks down the trie with the overlap that a shared path has so far, and
 leaves a subtree as soon as what remains can't reach the overlap that its sizes ask for.
 
@@ -32,6 +32,9 @@ WORDS, THRESHOLD = 5, (75, 100)
 BLOCK, SLOTS = 128, 32
 #: N-grams found so often within one task count as frequent; so many of them are put in order by count.
 FREQUENT, MOST_FREQUENT = 8, 200_000
+#: N-grams with a hash below this (36 %) are shown beyond the prefix, which tells how much of a text others share.
+LOW = 36 * (2**63 // 100)
+SLICE = 1_000_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _ODD = [np.uint64(m) for m in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
@@ -44,33 +47,52 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class Shingler:
-    """Sets of hashed word n-grams; remembers the hashes of words."""
+#: Separators, the lower case of A-Z, and a fixed number for every byte.
+_IS_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_VALUE = _mix(np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), np.arange(256) + 32, np.arange(256)).astype(np.uint64) + _MIX)
+_BASE = 0x2545F4914F6CDD1D
+_INVERSE = pow(_BASE, -1, 2**64)
 
-    def __init__(self, words: int = WORDS):
-        self.words, self.known = words, {}
 
-    def _codes(self, text: str) -> np.ndarray:
-        import xxhash
+def _powers(base: int, n: int) -> np.ndarray:
+    return np.cumprod(np.concatenate([[np.uint64(1)], np.full(max(0, n - 1), base, np.uint64)]), dtype=np.uint64)[:n]
 
-        parts = text.encode().lower().split()  # bytes: only A-Z change, only the six ASCII separators cut
-        if len(self.known) > 500_000:
-            self.known.clear()
-        known = self.known
-        for w in set(parts).difference(known):
-            known[w] = xxhash.xxh64_intdigest(w)
-        return np.fromiter(map(known.__getitem__, parts), np.uint64, len(parts))
 
-    def __call__(self, text: str) -> np.ndarray:
-        """The distinct n-grams of a text as sorted 63-bit numbers; of fewer words the whole sequence as one."""
-        codes = self._codes(text)
-        n = min(self.words, len(codes))
-        if n == 0:
-            return np.zeros(0, np.int64)
-        total = np.zeros(len(codes) - n + 1, np.uint64)
-        for i in range(n):
-            total = _mix(total * _MIX + codes[i : len(codes) - n + 1 + i] + np.uint64(n))
-        return np.unique((total >> np.uint64(1)).astype(np.int64))
+def shingles(texts: list[str], words: int = WORDS) -> list[np.ndarray]:
+    """For each text its distinct word n-grams as sorted 63-bit numbers; of fewer words the whole sequence as one.
+
+    All texts are hashed at once: a word's hash is the difference of two running sums over the bytes.
+    """
+    coded = [t.encode() for t in texts]
+    raw = np.frombuffer(b" ".join([*coded, b""]), np.uint8)  # a separator ends every text
+    bounds = np.cumsum([0, *(len(c) + 1 for c in coded)])
+    space = _IS_SPACE[raw]
+    edge = np.flatnonzero(np.diff(np.concatenate([[True], space]).astype(np.int8)))
+    start, stop = edge[0::2], edge[1::2]
+    if not len(start):
+        return [np.zeros(0, np.int64) for _ in texts]
+    value = _VALUE[raw]
+    value[space] = 0
+    total = np.concatenate([[np.uint64(0)], np.cumsum(value * _powers(_BASE, len(raw)), dtype=np.uint64)])
+    word = _mix((total[stop] - total[start]) * _powers(_INVERSE, len(raw))[start] + (stop - start).astype(np.uint64) * _MIX)
+    first = np.searchsorted(start, bounds)  # of each text among the words
+    # A row of n-grams of the full length, and for short texts one of all their words.
+    gram = np.zeros(max(0, len(word) - words + 1), np.uint64)
+    for i in range(words):
+        gram = _mix(gram * _MIX + word[i : len(word) - words + 1 + i]) if len(gram) else gram
+    gram = (gram >> np.uint64(1)).astype(np.int64)
+    out = []
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        if b - a >= words:
+            out.append(np.unique(gram[a : b - words + 1]))
+        elif b > a:
+            short = np.array([b - a], np.uint64)
+            for i in range(a, b):
+                short = _mix(short * _MIX + word[i : i + 1])
+            out.append((short >> np.uint64(1)).astype(np.int64))
+        else:
+            out.append(np.zeros(0, np.int64))
+    return out
 
 
 def _frequent(docs: DataFrame, words: int) -> np.ndarray:
@@ -82,22 +104,24 @@ def _frequent(docs: DataFrame, words: int) -> np.ndarray:
     schema = pa.schema([("gram", pa.int64()), ("n", pa.int64())])
 
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle = Shingler(words)
         grams, counts, waiting, size = np.zeros(0, np.int64), np.zeros(0, np.int64), [], 0
 
         def merged() -> tuple[np.ndarray, np.ndarray]:
-            every = np.concatenate([grams, *waiting])
-            number = np.concatenate([counts, np.ones(len(every) - len(grams), np.int64)])
+            new = np.sort(np.concatenate([np.zeros(0, np.int64), *waiting]))
+            first = np.flatnonzero(np.concatenate([[True], new[1:] != new[:-1]])) if len(new) else np.zeros(0, np.int64)
+            number = np.diff(np.concatenate([first, [len(new)]]))
+            every, number = np.concatenate([grams, new[first]]), np.concatenate([counts, number])
             order = np.argsort(every, kind="stable")
             every, number = every[order], number[order]
             first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.zeros(0, np.int64)
             return every[first], np.add.reduceat(number, first) if len(first) else number
 
         for part in parts:
-            for text in part.column(0).to_pylist():
-                waiting.append(shingle(text))
-                size += len(waiting[-1])
-                if size > 4_000_000:  # what was seen once in so many n-grams is let go
+            texts = part.column(0).to_pylist()
+            for a, b in slices(texts, SLICE):
+                waiting += shingles(texts[a:b], words)
+                size += sum(map(len, waiting[a - b :]))
+                if size > 3_000_000:  # what was seen once in so many n-grams is let go
                     grams, counts = merged()
                     grams, counts, waiting, size = grams[counts > 1], counts[counts > 1], [], 0
         grams, counts = merged()
@@ -109,61 +133,70 @@ def _frequent(docs: DataFrame, words: int) -> np.ndarray:
     return rows.column("gram").combine_chunks().to_numpy(zero_copy_only=False)[::-1].copy()
 
 
-def _ordered(grams: np.ndarray, frequent: np.ndarray, ranks: np.ndarray) -> np.ndarray:
-    """A set in the common order; ``frequent`` is sorted, ``ranks`` are its places by count."""
-    if not len(frequent) or not len(grams):
-        return grams
-    at = np.searchsorted(frequent, grams)
-    at[at == len(frequent)] = 0
-    hot = frequent[at] == grams
-    return np.concatenate([grams[~hot], grams[hot][np.argsort(ranks[at[hot]], kind="stable")]])
-
-
 def prefix_length(n: int, threshold: tuple[int, int] = THRESHOLD) -> int:
     """How many of the first n-grams a set must show so that every similar set shares one."""
     top, bottom = threshold
     return n - (-(-n * top // bottom)) + 1 if n else 0
 
 
-def _sets(rows: DataFrame, words: int) -> DataFrame:
-    """(id, n, digest, grams) of every whole text: the size of its set, a digest of it, and the set."""
-    schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("grams", pa.list_(pa.int64()))])
+def _sets(rows: DataFrame, words: int, threshold: tuple[int, int], frequent: np.ndarray | None) -> DataFrame:
+    """(id, n, low, digest, grams) of every whole text: the size of its set, a digest, and the set in no special order.
+
+    ``low`` counts its n-grams that are not frequent and whose hash is low; with ``frequent`` the sets are left out.
+    """
+    schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("low", pa.int64()), ("digest", pa.binary()), ("grams", pa.list_(pa.int64()))])
 
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 
-        shingle = Shingler(words)
         for part in parts:
             texts, ids = part.column(1).to_pylist(), part.column(0)
-            for a, b in slices(texts):
-                sets = [shingle(t) for t in texts[a:b]]
+            for a, b in slices(texts, SLICE):
+                sets = shingles(texts[a:b], words)
                 digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-                sizes = [len(s) for s in sets]
-                yield batch(schema, ids.slice(a, b - a), sizes, digests, lists(np.concatenate([np.zeros(0, np.int64), *sets]), sizes, pa.int64()))
+                low = [0] * len(sets) if frequent is None else [int((~_hot(s[: np.searchsorted(s, LOW)], frequent)).sum()) for s in sets]
+                shown = sets if frequent is None else [s[:0] for s in sets]
+                sizes = [len(s) for s in shown]
+                yield batch(schema, ids.slice(a, b - a), [len(s) for s in sets], low, digests, lists(np.concatenate([np.zeros(0, np.int64), *shown]), sizes, pa.int64()))
+
+    return rows.mapInArrow(work, "id bigint, n bigint, low bigint, digest binary, grams array<bigint>")
 
-    return rows.mapInArrow(work, "id bigint, n bigint, digest binary, grams array<bigint>")
+
+def _hot(grams: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """Which n-grams are among the sorted frequent ones."""
+    if not len(frequent):
+        return np.zeros(len(grams), bool)
+    at = np.searchsorted(frequent, grams)
+    at[at == len(frequent)] = 0
+    return frequent[at] == grams
 
 
 def _shown(rows: DataFrame, words: int, threshold: tuple[int, int], frequent: np.ndarray) -> DataFrame:
-    """(gram, slot, id): each document under the n-grams of its prefix.
+    """(gram, slot, id): each document under the n-grams of its prefix, and under its others of low hash.
 
-    Slot -1 holds an n-gram that isn't known as frequent; frequent ones are dealt over slots by id.
+    Slot -1 holds an n-gram that isn't known as frequent; frequent ones, which come last in the order
+    and are shown in prefixes only, are dealt over slots by id.
     """
     schema = pa.schema([("gram", pa.int64()), ("slot", pa.int32()), ("id", pa.int64())])
     ranks = np.argsort(frequent, kind="stable")
     by_gram = frequent[ranks]
 
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle = Shingler(words)
         for part in parts:
             texts, ids = part.column(1).to_pylist(), part.column(0).to_numpy(zero_copy_only=False)
-            for a, b in slices(texts, 2_000_000):
-                sets = [_ordered(s, by_gram, ranks) for s in map(shingle, texts[a:b])]
-                sets = [s[: prefix_length(len(s), threshold)] for s in sets]
-                grams = np.concatenate([np.zeros(0, np.int64), *sets])
-                doc = np.repeat(ids[a:b].astype(np.int64), [len(s) for s in sets])
-                hot = np.isin(grams, by_gram)
-                yield batch(schema, grams, np.where(hot, _mix(doc.astype(np.uint64)) % np.uint64(SLOTS), -1).astype(np.int32), doc)
+            for a, b in slices(texts, SLICE):
+                cold, hot = [], []
+                for s in shingles(texts[a:b], words):
+                    is_hot = _hot(s, by_gram)
+                    rare, often = s[~is_hot], s[is_hot]
+                    prefix = prefix_length(len(s), threshold)
+                    cold.append(rare[: max(min(prefix, len(rare)), int(np.searchsorted(rare, LOW)))])
+                    order = np.argsort(ranks[np.searchsorted(by_gram, often)], kind="stable") if len(often) else slice(0)
+                    hot.append(often[order][: max(0, prefix - len(rare))])
+                doc = ids[a:b].astype(np.int64)
+                of_cold, of_hot = np.repeat(doc, [len(s) for s in cold]), np.repeat(doc, [len(s) for s in hot])
+                slots = np.concatenate([np.full(len(of_cold), -1), (_mix(of_hot.astype(np.uint64)) % np.uint64(SLOTS)).astype(np.int64)])
+                yield batch(schema, np.concatenate([np.zeros(0, np.int64), *cold, *hot]), slots.astype(np.int32), np.concatenate([of_cold, of_hot]))
 
     return rows.filter("id IS NOT NULL").mapInArrow(work, "gram bigint, slot int, id bigint")
 
@@ -330,23 +363,32 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words
     no component. Other columns are not read; an empty table gives none.
     """
     rows = docs.select(F.col(key).cast("long").alias("id"), text_of(text).alias("text"))
-    sets = written(_sets(rows, words).select("id", "n", "digest"), "sets")
-    reps = written(sets.filter("n > 0 AND id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("rep")), "set-classes")
+    frequent = _frequent(rows, words)
+    sets = written(_sets(rows, words, threshold, np.sort(frequent)).select("id", "n", "low", "digest"), "sets")
+    reps = sets.filter("n > 0 AND id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("low").alias("low"))
+    reps = written(reps, "set-classes")
 
-    # Every document with the smallest id under each of its prefix n-grams; slots of one n-gram meet at its smallest.
+    # A set that a similar one exists for lacks at most n - ceil(t n) of its n-grams there; those of low hash that no
+    # other document has are among the lacking ones. Sets with more of them go, with most chance meetings.
     here = Window.partitionBy("gram", "slot")
-    met = _shown(rows, words, threshold, _frequent(rows, words)).withColumn("pivot", F.min("id").over(here)).withColumn("n", F.count(F.lit(1)).over(here))
-    met = written(met.filter("n > 1 OR slot >= 0").select("gram", "slot", "id", "pivot"), "shared-grams")
+    met = _shown(rows, words, threshold, frequent).withColumn("n", F.count(F.lit(1)).over(here)).filter("n > 1 OR slot >= 0")
+    met = written(met.select("gram", "slot", "id"), "shared-grams")
+    shared = met.filter(f"slot < 0 AND gram < {LOW}").groupBy("id").agg(F.count(F.lit(1)).alias("shared"))
+    top, bottom = threshold
+    may = reps.join(shared, F.col("rep") == F.col("id"), "left").filter(F.expr(f"low - coalesce(shared, 0) <= n - (n * {top} + {bottom - 1}) DIV {bottom}"))
+    may = written(may.select(F.col("rep").alias("id")), "open-sets")
+    met = written(met.join(may, "id", "left_semi").withColumn("pivot", F.min("id").over(here)).withColumn("n", F.count(F.lit(1)).over(here)).filter("n > 1 OR slot >= 0"), "shared-grams")
+
+    # Every document with the smallest id under each n-gram; slots of one n-gram meet at its smallest.
     of_slots = met.filter("slot >= 0").groupBy("gram", "slot").agg(F.min("pivot").alias("id"))
     of_gram = of_slots.groupBy("gram").agg(F.min("id").alias("pivot"))
     pairs = met.select("pivot", "id").unionByName(of_slots.join(of_gram, "gram").select("pivot", "id")).filter("pivot <> id").distinct()
-    pairs = pairs.join(reps, F.col("id") == F.col("rep"), "left_semi")  # copies follow their class; a pivot is the least of its class
     per_pivot = F.ceil(F.count(F.lit(1)) / (block - 1)).cast("int").alias("parts")
     pairs = written(pairs, "pairs")
     sizes = pairs.groupBy("pivot").agg(per_pivot)
     pairs = written(pairs.join(sizes, "pivot").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts"))), "pairs")
     active = pairs.select("id").unionByName(pairs.select(F.col("pivot").alias("id"))).distinct()
-    whole = written(_sets(rows.join(active, "id", "left_semi"), words).select("id", "grams"), "active-sets")
+    whole = written(_sets(rows.join(active, "id", "left_semi"), words, threshold, None).select("id", "grams"), "active-sets")
     blocks = pairs.select("pivot", "part", "id").unionByName(pairs.select("pivot", "part", F.col("pivot").alias("id")).distinct())
     links = written(_join_blocks(blocks.withColumn("comp", F.col("id")), whole, ["pivot", "part"], threshold), "links")
     comps = written(components(links), "components")
@@ -354,7 +396,7 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words
     # What no single block has held: n-grams in slots, or of a pivot with several blocks, in more than one component.
     split = pairs.filter("parts > 1").select("pivot").distinct()
     open_ = met.filter("slot >= 0").select("gram", "id").unionByName(met.filter("slot < 0").join(split, "pivot", "left_semi").select("gram", "id"))
-    open_ = open_.join(reps, F.col("id") == F.col("rep"), "left_semi").join(comps, "id", "left").select("gram", "id", F.coalesce("comp", "id").alias("comp"))
+    open_ = open_.join(comps, "id", "left").select("gram", "id", F.coalesce("comp", "id").alias("comp"))
     open_ = written(open_, "open-grams")
     parts = open_.groupBy("gram", "comp").agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("sign"))
     parts = parts.groupBy("gram").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("n_all"), F.sum("sign").alias("sign"))

@@ -27,11 +27,12 @@ WINDOW, END = 4096, 2
 SHARD, TERMS = 1_000_000, 24
 K1, B = 1.2, 0.75
 #: Chunks a worker remembers; it forgets all of them beyond that.
-MOST_CHUNKS, MOST_WORDS = 700_000, 500_000
+MOST_KNOWN = 700_000
 
 _ODD = re.compile(r"[\x1c-\x1f]")
-_HIGH = re.compile(r"[^\x00-ɏ]")
-_PLAIN = re.compile(r"([^\W\d_]+)([.,;:!?]?)")
+#: Marks beyond ASCII, letters that may compose, apostrophes of contractions, and those separators.
+_SPECIAL = re.compile(r"[^\x00-\x7fÀ-ɏ]|[×÷'\x1c-\x1f]")
+_MARKS = re.compile(r"([!-&(-/:-@\[-`{-~]+)")
 
 
 class _Tokens:
@@ -50,8 +51,7 @@ class _Tokens:
             raise ValueError("ids above 65535 need a wider code")
         self.last = np.zeros(65536, bool)
         self.last[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
-        self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
 
     def _alone(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u2").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -63,47 +63,36 @@ class _Tokens:
             cut = np.flatnonzero(self.last[np.frombuffer(raw, "<u2")]) + 1
             if len(cut) == len(some):
                 ends = (cut * 2).tolist()
-                self.words.update((w, raw[s:e]) for w, s, e in zip(some, [0, *ends], ends, strict=False))
+                self.known.update((w, raw[s:e]) for w, s, e in zip(some, [0, *ends], ends, strict=False))
             else:  # some word is more than one to the tokenizer
-                self.words.update(zip(some, self._alone(some), strict=True))
+                self.known.update(zip(some, self._alone(some), strict=True))
 
     def _learn(self, new: set[str]) -> None:
-        if len(self.chunks) > MOST_CHUNKS:
-            self.chunks.clear()
-        if len(self.words) > MOST_WORDS:
-            self.words.clear()
-        plain, other = {}, []
-        for chunk in new:
-            m = _PLAIN.fullmatch(chunk)
-            if m and m[1].isalpha():
-                plain[chunk] = m.groups()
-            else:
-                other.append(chunk)
-        wanted = {w for pair in plain.values() for w in pair if w}
-        words, marks = [], []
-        for w in wanted.difference(self.words):
-            (words if w.isalpha() else marks).append(w)
-        self._learn_words(sorted(words))
-        self.words.update(zip(marks, self._alone(marks), strict=True))
-        for chunk, (word, mark) in plain.items():
-            self.chunks[chunk] = self.words[word] + (self.words[mark] if mark else b"")
-        self.chunks.update(zip(other, self._alone(other), strict=True))
+        if len(self.known) > MOST_KNOWN:
+            self.known.clear()
+        words, other = [], []
+        for chunk in new.difference(self.known):
+            (words if chunk.isalpha() else other).append(chunk)
+        self._learn_words(words)
+        self.known.update(zip(other, self._alone(other), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of every text as little-endian 16-bit numbers."""
+        """Ids of every text as little-endian 16-bit numbers.
+
+        Runs of ASCII marks between letters are words of their own, so they are cut off first, in
+        lower case, where nothing in the text could make that differ. Other texts keep their chunks.
+        """
         cut: list[list[str] | None] = []
         for text in texts:
-            if _ODD.search(text):  # separators of Python that are not white space to the tokenizer
-                cut.append(None)
-            else:
-                cut.append((text if _HIGH.search(text) else text.lower()).split())
+            if not _SPECIAL.search(text):
+                cut.append(_MARKS.sub(r" \1 ", text.lower()).split())
+            else:  # separators of Python that are not white space to the tokenizer need the whole text
+                cut.append(None if _ODD.search(text) else text.split())
         seen: set[str] = set()
         for parts in cut:
             seen.update(parts or ())
-        self._learn(seen if len(self.chunks) > MOST_CHUNKS else seen.difference(self.chunks))
-        if not seen <= self.chunks.keys():
-            self._learn(seen.difference(self.chunks))
-        get = self.chunks.__getitem__
+        self._learn(seen)
+        get = self.known.__getitem__
         return [self._alone([t])[0] if parts is None else b"".join(map(get, parts)) for t, parts in zip(texts, cut, strict=True)]
 
 
@@ -136,9 +125,10 @@ def tokenised(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str =
             for a, b in slices(texts, 2_000_000):
                 coded = [c + mark for c in coder.encode(texts[a:b])]
                 sizes = np.array([len(c) // 2 for c in coded])
-                flat = np.frombuffer(b"".join(coded), "<u2").astype(np.int64)
-                both = np.unique(np.repeat(np.arange(len(coded)), sizes) << 16 | flat)
-                frequency += np.bincount(both & 65535, minlength=65536)
+                flat = np.frombuffer(b"".join(coded), "<u2")
+                both = np.sort(np.repeat(np.arange(len(coded), dtype=np.uint64) << np.uint64(16), sizes) | flat)
+                once = both[np.concatenate([[True], both[1:] != both[:-1]])] & np.uint64(65535)
+                frequency += np.bincount(once.astype(np.int64), minlength=65536)
                 rows, start, length, crc, ids = [], [], [], [], []
                 for i, raw in enumerate(coded):
                     n = len(raw) // 2
