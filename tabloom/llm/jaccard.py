@@ -34,7 +34,7 @@ BLOCK, SLOTS = 128, 32
 FREQUENT, MOST_FREQUENT = 8, 200_000
 #: N-grams with a hash below this (36 %) are shown beyond the prefix, which tells how much of a text others share.
 LOW = 36 * (2**63 // 100)
-SLICE = 1_000_000
+SLICE = 500_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _ODD = [np.uint64(m) for m in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
@@ -121,7 +121,7 @@ def _frequent(docs: DataFrame, words: int) -> np.ndarray:
             for a, b in slices(texts, SLICE):
                 waiting += shingles(texts[a:b], words)
                 size += sum(map(len, waiting[a - b :]))
-                if size > 3_000_000:  # what was seen once in so many n-grams is let go
+                if size > 1_000_000:  # what was seen once in so many n-grams is let go
                     grams, counts = merged()
                     grams, counts, waiting, size = grams[counts > 1], counts[counts > 1], [], 0
         grams, counts = merged()
@@ -398,11 +398,17 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words
     open_ = met.filter("slot >= 0").select("gram", "id").unionByName(met.filter("slot < 0").join(split, "pivot", "left_semi").select("gram", "id"))
     open_ = open_.join(comps, "id", "left").select("gram", "id", F.coalesce("comp", "id").alias("comp"))
     open_ = written(open_, "open-grams")
+    # An n-gram's largest component is compared with the other documents there; n-grams with the same others are one group.
     parts = open_.groupBy("gram", "comp").agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("sign"))
-    parts = parts.groupBy("gram").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("n_all"), F.sum("sign").alias("sign"))
-    parts = parts.filter("n_all > n_main").groupBy("n_all", "sign").agg(F.min_by(F.struct("gram", "main", "n_main"), "gram").alias("g")).select("g.*", "n_all")
+    size = F.struct("n", "comp")
+    parts = parts.groupBy("gram").agg(
+        F.max_by("comp", size).alias("main"), (F.sum("n") - F.max("n")).alias("n_out"), (F.sum("sign") - F.max_by("sign", size)).alias("sign")
+    ).filter("n_out > 0")
+    group = ["main", "n_out", "sign"]
+    members = written(open_.join(parts, "gram").select(*group, "id", "comp").distinct(), "open-groups")
     half = block // 2
-    left = open_.join(parts, "gram").withColumn("k_main", F.ceil(F.col("n_main") / half).cast("int")).withColumn("k_out", F.ceil((F.col("n_all") - F.col("n_main")) / half).cast("int"))
+    n_main = members.filter("comp = main").groupBy(*group).agg(F.ceil(F.count(F.lit(1)) / half).cast("int").alias("k_main"))
+    left = members.join(n_main, group).withColumn("k_out", F.ceil(F.col("n_out") / half).cast("int"))
     is_main = F.col("comp") == F.col("main")
     at = F.pmod(F.xxhash64("id"), F.when(is_main, F.col("k_main")).otherwise(F.col("k_out"))).cast("int")
     up_to = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
@@ -410,8 +416,8 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words
         F.transform(up_to("k_main"), lambda m: F.struct(F.lit("main").alias("kind"), m.alias("i"), F.col("at").alias("j"))),
         F.transform(up_to("k_out"), lambda t: F.struct(F.lit("rest").alias("kind"), F.least(t, "at").alias("i"), F.greatest(t, "at").alias("j"))),
     ))
-    left = left.withColumn("at", at).select("gram", "id", "comp", F.explode(cells).alias("c")).select("gram", "c.kind", "c.i", "c.j", "id", "comp")
-    more = written(_join_blocks(left, whole, ["gram", "kind", "i", "j"], threshold), "links")
+    left = left.withColumn("at", at).select(*group, "id", "comp", F.explode(cells).alias("c")).select(*group, "c.kind", "c.i", "c.j", "id", "comp")
+    more = written(_join_blocks(left, whole, [*group, "kind", "i", "j"], threshold), "links")
     if not more.isEmpty():
         comps = written(components(links.unionByName(more)), "components")
 
