@@ -247,6 +247,22 @@ def boost(x: np.ndarray, y: np.ndarray) -> Trees:
 Model = tuple[Trees, Trees]
 
 
+def _with_asides(html: str, draw: np.random.Generator) -> str:
+    """The page with some of its own words in blocks that are named as no part of the article, inside and after it.
+
+    A sample may lack notices or comments; so the names of such blocks are learned all the same.
+    """
+    words = re.sub(r"<[^>]*>", " ", html[-4000:]).split() or ["word"]
+    names = sorted(BAD_TOKENS)
+
+    def block() -> str:
+        tag = ("div", "section", "ul", "p")[draw.integers(4)]
+        inner = "".join(f"<p>{' '.join(words[: draw.integers(2, 60)])}</p>" for _ in range(draw.integers(1, 4)))
+        return f'<{tag} {("class", "id")[draw.integers(2)]}="{names[draw.integers(len(names))]}">{inner if tag != "p" else " ".join(words[:20])}</{tag}>'
+
+    return re.sub(r"(?i)</(article|main)>", lambda m: block() + m[0] + block(), html)
+
+
 def fit(pages: DataFrame, key: str = "page_id", html: str = "html", sample: int = SAMPLE) -> Model | None:
     """Fit on at most ``sample`` pages with a landmark, chosen by a hash of key and page. None without any."""
     marked = F.col("html").rlike("(?i)<(article|main)[ >]|articleBody") & (F.length("html") <= LONGEST)
@@ -258,11 +274,15 @@ def fit(pages: DataFrame, key: str = "page_id", html: str = "html", sample: int
         truth = landmarks(page)
         if truth is None:
             continue
-        show = ~silent(page)
-        for hide in (None, np.full(len(page.tag), True), draw.random(len(page.tag)) < 0.5):
-            xs.append(node_features(page, hide)[show])
-            holds.append(truth[0][show])
-            inside.append(truth[1][show])
+        views = [(page, truth, hide) for hide in (None, np.full(len(page.tag), True), draw.random(len(page.tag)) < 0.5)]
+        other = Page(_with_asides(row["html"], draw))
+        if (marked_again := landmarks(other)) is not None:
+            views.append((other, marked_again, None))
+        for view, (has, main), hide in views:
+            show = ~silent(view)
+            xs.append(node_features(view, hide)[show])
+            holds.append(has[show])
+            inside.append(main[show])
     if not xs:
         return None
     x = np.vstack(xs)
