@@ -49,10 +49,13 @@ def text_classifier(train: DataFrame, text: str = "text", label: str = "label",
 def tree_classifier(train: DataFrame, categories: Sequence[str], numbers: Sequence[str], label: str = "label", depth: int = 5) -> Model:
     """Indexed categories and numbers into one decision tree."""
     codes = [f"_{c}" for c in categories]
+    # A split needs a bin for each category, one of them for values the training rows lack.
+    sizes = train.agg(F.lit(0).alias("_"), *[F.count_distinct(c).alias(n) for c, n in zip(categories, codes, strict=True)]).first()
+    bins = max(64, *(size + 1 for size in sizes)) if categories else 64
     stages = [StringIndexer(inputCols=list(categories), outputCols=codes, handleInvalid="keep")] if categories else []
     stages += [
         VectorAssembler(inputCols=[*codes, *numbers], outputCol="features"),
-        DecisionTreeClassifier(labelCol=label, maxDepth=depth, maxBins=64),
+        DecisionTreeClassifier(labelCol=label, maxDepth=depth, maxBins=bins),
     ]
     return Pipeline(stages=stages).fit(train)
 

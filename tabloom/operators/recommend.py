@@ -474,8 +474,8 @@ def relevant_quantile(test: DataFrame, q: float = 0.85) -> DataFrame:
 def user_rank_metrics(recs: DataFrame, relevant: DataFrame, k: int) -> DataFrame:
     """(user_id, precision, recall, ap) at k. AP divides by min(relevant, recommended).
 
-    Users without a relevant item do not appear; a list never exceeds k, so the window that
-    counts the hits so far stays small.
+    Users without a relevant item do not appear; those with one but without a list count zero. A
+    list never exceeds k, so the window that counts the hits so far stays small.
     """
     top = recs.filter(F.col("rank") <= k).select("user_id", "item_id", "rank")
     wanted = relevant.select("user_id", "item_id").distinct()
@@ -485,13 +485,14 @@ def user_rank_metrics(recs: DataFrame, relevant: DataFrame, k: int) -> DataFrame
     so_far = Window.partitionBy("user_id").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
     gain = F.col("_hit") * F.sum("_hit").over(so_far) / F.col("rank")
     per_user = marked.withColumn("_gain", gain).groupBy("user_id").agg(
-        F.sum("_hit").alias("_hits"), F.count(F.lit(1)).alias("_n"), F.first("_rel").alias("_rel"), F.sum("_gain").alias("_g")
+        F.sum("_hit").alias("_hits"), F.count(F.lit(1)).alias("_n"), F.sum("_gain").alias("_g")
     )
-    return per_user.select(
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    return sizes.join(per_user, "user_id", "left").select(
         "user_id",
-        (F.col("_hits") / F.col("_n")).alias("precision"),
-        (F.col("_hits") / F.col("_rel")).alias("recall"),
-        (F.col("_g") / F.least("_rel", "_n")).alias("ap"),
+        zero(F.col("_hits") / F.col("_n")).alias("precision"),
+        zero(F.col("_hits") / F.col("_rel")).alias("recall"),
+        zero(F.col("_g") / F.least("_rel", "_n")).alias("ap"),
     )
 
 

@@ -66,6 +66,15 @@ def with_position(
     )
 
 
+def _by_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Join on the keys, null matching null as in a window; only the left copies of the keys stay."""
+    named = right.select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)], *[c for c in right.columns if c not in keys])
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{i}"))
+    return left.join(named, same).drop(*[f"_key_{i}" for i in range(len(keys))])
+
+
 def row_number_within(
     df: DataFrame,
     keys: Sequence[str],
@@ -83,9 +92,7 @@ def row_number_within(
         return df.withColumn(name, F.row_number().over(window).cast("long"))
     placed = with_position(df, [*keys, *order], "_pos")
     starts = placed.groupBy(*keys).agg(F.min("_pos").alias("_start"))
-    return placed.join(starts, list(keys)).select(
-        *df.columns, (F.col("_pos") - F.col("_start") + 1).alias(name)
-    )
+    return _by_keys(placed, starts, keys).select(*df.columns, (F.col("_pos") - F.col("_start") + 1).alias(name))
 
 
 def exact_percentiles(df: DataFrame, column: str, fractions: Sequence[float]) -> list[float]:
@@ -128,7 +135,7 @@ def percentile_within(
         return counts.groupBy(*keys).agg(F.percentile("_v", F.lit(fraction), F.col("_n")).alias(name))
     placed = with_position(counts, [*keys, "_v"], "_pos", {"_upto": F.col("_n")})
     bounds = placed.groupBy(*keys).agg(F.min(F.col("_upto") - F.col("_n")).alias("_start"), F.max("_upto").alias("_end"))
-    ranked = placed.join(bounds, list(keys)).withColumn("_h", (F.col("_end") - F.col("_start") - 1) * F.lit(fraction))
+    ranked = _by_keys(placed, bounds, keys).withColumn("_h", (F.col("_end") - F.col("_start") - 1) * F.lit(fraction))
     upto = F.col("_upto") - F.col("_start")
 
     def at(rank: Column) -> Column:

@@ -355,7 +355,8 @@ def r23(spark, sf):
     h AS (SELECT x.user_id, rank, k, (rel.item_id IS NOT NULL)::INT AS hit FROM x JOIN size USING (user_id)
       LEFT JOIN rel ON rel.user_id = x.user_id AND rel.item_id = x.item_id WHERE rank <= 10),
     g AS (SELECT *, hit * sum(hit) OVER (PARTITION BY user_id ORDER BY rank) / rank AS gain FROM h),
-    m AS (SELECT user_id, sum(hit) / count(*) AS p, sum(hit) / max(k) AS r, sum(gain) / least(max(k), count(*)) AS ap FROM g GROUP BY 1)
+    l AS (SELECT user_id, sum(hit) / count(*) AS p, sum(hit) / max(k) AS r, sum(gain) / least(max(k), count(*)) AS ap FROM g GROUP BY 1),
+    m AS (SELECT user_id, coalesce(p, 0) AS p, coalesce(r, 0) AS r, coalesce(ap, 0) AS ap FROM size LEFT JOIN l USING (user_id))
     SELECT round(avg(p), 6) AS precision, round(avg(r), 6) AS recall, round(avg(ap), 6) AS map, count(*) AS users FROM m""",
 )
 def r24(spark, sf):

@@ -72,7 +72,7 @@ def read_zip_city(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_eurostat(spark: SparkSession, path: str) -> DataFrame:
-    """Wide TSV whose first column packs ``a,b,c\\time``; ``:`` is null, letter flags go.
+    """Wide TSV whose first column packs ``a,b,c\\time``; ``:`` is null, letter flags after a number go.
 
     Returns the key columns as text and one double column per year, named by the year.
     """
@@ -82,7 +82,7 @@ def read_eurostat(spark: SparkSession, path: str) -> DataFrame:
     parts = F.split(F.col(f"`{packed}`"), ",")
 
     def number(c: str):
-        return F.regexp_replace(F.col(f"`{c}`"), r"[^0-9.]", "").try_cast("double")
+        return F.regexp_replace(F.col(f"`{c}`"), r"[^0-9.]+$", "").try_cast("double")
 
     return raw.select(
         *[F.trim(parts[i]).alias(k) for i, k in enumerate(keys)],

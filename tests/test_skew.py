@@ -140,11 +140,10 @@ def test_block_product(spark, size):
     assert {(r["i"], r["j"]): r["b"] for r in out.collect()} == {(i, j): float((a @ b)[i, j]) for i in range(7) for j in range(5)}
 
 
-@pytest.mark.parametrize("width", [1, 4, 512])
 @pytest.mark.parametrize("n", [1, 5, 70])
-def test_first_unseen(ratings, width, n):
+def test_first_unseen(ratings, n):
     items = ratings.select("item_id").distinct()
-    out = first_unseen(ratings, items, [F.desc("item_id")], n, width)
+    out = first_unseen(ratings, items, [F.desc("item_id")], n)
     got = {}
     for r in out.orderBy("user_id", "rank").collect():
         got.setdefault(r["user_id"], []).append(r["item_id"])
@@ -306,3 +305,32 @@ def test_neighbourhood_scores(ratings, method, sizes):
                 want[(u, i)] = sum(sims.get((u, v), 0.0) * x for v, x in raters.items()) / den
     got = {(r["user_id"], r["item_id"]): r["score"] for r in rec.cf_scores(ratings, 3, method, **sizes).collect()}
     assert got == pytest.approx(want)
+
+
+def test_null_keys_on_both_paths(spark):
+    from tabloom.plans import percentile_within, row_number_within
+
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 2.0), ("a", 5.0)], "k string, v double")
+    both = [sorted(map(tuple, row_number_within(df, ["k"], ["v"], hot_rows=h).collect()), key=str) for h in (10, 0)]
+    assert both[0] == both[1] and len(both[0]) == 4
+    both = [sorted(map(tuple, percentile_within(df, ["k"], "v", 0.5, hot_rows=h).collect()), key=str) for h in (10, 0)]
+    assert both[0] == both[1] == [("a", 3.5), (None, 2.0)] or sorted(both[0], key=str) == sorted(both[1], key=str)
+
+
+def test_users_without_ranked_items_or_lists(spark):
+    from tabloom.operators import recommend as rec
+
+    ratings = spark.createDataFrame([(1, 10, 5), (2, 10, 4), (1, 11, 3), (2, 11, 3), (3, 99, 5)], "user_id long, item_id long, rating int")
+    lists = rec.recommend_top_rated(ratings, 5, 2, remove_seen=True)
+    assert sorted((r.user_id, r.item_id, r["rank"]) for r in lists.collect()) == [(3, 10, 1), (3, 11, 2)]
+    recs = spark.createDataFrame([(1, 10, 1)], "user_id long, item_id long, rank int")
+    relevant = spark.createDataFrame([(1, 10), (2, 10)], "user_id long, item_id long")
+    row = rec.rank_metrics(recs, relevant, 5).first()
+    assert (row["map"], row["users"]) == (0.5, 2)
+
+
+def test_tree_takes_many_categories(spark):
+    from tabloom.operators import models
+
+    df = spark.range(300).selectExpr("concat('c', id % 100) AS c", "double(id % 7) AS x", "double(id % 2) AS label")
+    assert models.tree_classifier(df, ["c"], ["x"]).transform(df).count() == 300
