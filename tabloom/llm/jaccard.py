@@ -30,11 +30,15 @@ from tabloom.plans.storage import checkpointed, written
 WORDS, THRESHOLD = 5, (75, 100)
 #: Documents in a trie, and slots by which the pivots of a hot n-gram are found in two steps.
 BLOCK, SLOTS = 128, 32
+#: Short texts go on filling one side of a pair of blocks up to so many n-grams, so they are copied less.
+GRAMS = 65_536
 #: N-grams found so often within one task count as frequent; so many of them are put in order by count.
 FREQUENT, MOST_FREQUENT = 8, 200_000
 #: N-grams with a hash below this (36 %) are shown beyond the prefix, which tells how much of a text others share.
 LOW = 36 * (2**63 // 100)
 SLICE = 500_000
+#: Marks of n-grams by probes that a block holds at once.
+TOGETHER = 8_000_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _ODD = [np.uint64(m) for m in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
@@ -250,31 +254,42 @@ class _Trie:
         self.longest.append(max(len(self.paths[i]) for i in members) - start)
         return len(self.run) - 1
 
-    def similar(self, probe: int, has: np.ndarray, threshold: tuple[int, int]) -> Iterator[int]:
-        """Sets of the trie that are similar to the probe; ``has`` marks the probe's n-gram numbers."""
+    def similar(self, probes: np.ndarray, width: int, threshold: tuple[int, int]) -> Iterator[tuple[int, int]]:
+        """(probe, set) for the sets of the trie that are similar to each probe; n-gram numbers are below ``width``.
+
+        The probes walk down together: a node adds to the overlap of all that are still with it.
+        """
         top, bottom = threshold
-        n, path = int(self.sizes[probe]), self.paths[probe]
-        stack = [(self.root, 0)]
+        n, length = self.sizes[probes], np.array([len(self.paths[p]) for p in probes])
+        start = np.cumsum(length) - length
+        flat = np.concatenate([self.paths[p] + i * width for i, p in enumerate(probes)])
+        has = np.zeros((width, len(probes)), bool)
+        has[flat % width, flat // width] = True
+
+        def left(who: np.ndarray, gram: int, side: str) -> np.ndarray:  # n-grams a probe has from this one on, or after it
+            return start[who] + length[who] - np.searchsorted(flat, who * width + gram, side=side)
+
+        stack = [(self.root, np.arange(len(probes)), np.zeros(len(probes), np.int64))]
         while stack:
-            node, overlap = stack.pop()
-            least = self.least[node]
-            if bottom * min(n, self.most[node]) < top * max(n, least):  # sizes too far apart
-                continue
+            node, who, overlap = stack.pop()
+            size, least, run, longest = n[who], self.least[node], self.run[node], self.longest[node]
+            stay = bottom * np.minimum(size, self.most[node]) >= top * np.maximum(size, least)  # sizes near enough
             # overlap / (n + m - overlap) >= top / bottom for the smallest size m that is near enough
-            m = max(least, -(-top * n // bottom))
-            need = -(-top * (n + m) // (top + bottom))
-            run = self.run[node]
+            m = np.maximum(least, -(-top * size // bottom))
+            need = -(-top * (size + m) // (top + bottom))
             if len(run):
-                rest = min(self.longest[node], len(path) - int(np.searchsorted(path, run[0])))
-                if overlap + rest < need:
-                    continue
-                overlap += int(has[run].sum())
-                if overlap + min(self.longest[node] - len(run), len(path) - int(np.searchsorted(path, run[-1], side="right"))) < need:
-                    continue
+                stay &= overlap + np.minimum(longest, left(who, run[0], "left")) >= need
+            who, overlap, need, size = who[stay], overlap[stay], need[stay], size[stay]
+            if len(run) and len(who):
+                overlap = overlap + has[run[:, None], who].sum(0)
+                stay = overlap + np.minimum(longest - len(run), left(who, run[-1], "right")) >= need
+                who, overlap, size = who[stay], overlap[stay], size[stay]
+            if not len(who):
+                continue
             for i in self.ends[node]:
-                if bottom * overlap >= top * (n + int(self.sizes[i]) - overlap):
-                    yield i
-            stack.extend((c, overlap) for c in self.child[node])
+                for w in who[bottom * overlap >= top * (size + self.sizes[i] - overlap)].tolist():
+                    yield int(probes[w]), i
+            stack.extend((c, who, overlap) for c in self.child[node])
 
 
 def linked(sets: list[np.ndarray], groups: list | None = None, threshold: tuple[int, int] = THRESHOLD) -> list[tuple[int, int]]:
@@ -303,15 +318,14 @@ def linked(sets: list[np.ndarray], groups: list | None = None, threshold: tuple[
     first: dict = {}
     for i, g in enumerate(groups or []):
         parent[find(i)] = find(first.setdefault(g, i))
-    out, has = [], np.zeros(max(1, shared), bool)
-    for probe in range(len(sets)):
-        has[paths[probe]] = True
-        for other in trie.similar(probe, has, threshold):
+    out, width = [], max(1, shared)
+    step = max(1, TOGETHER // width)  # so that long texts do not fill the memory
+    for first_probe in range(0, len(sets), step):
+        for probe, other in trie.similar(np.arange(first_probe, min(first_probe + step, len(sets))), width, threshold):
             a, b = find(probe), find(other)
             if a != b:
                 parent[a] = b
                 out.append((probe, other))
-        has[paths[probe]] = False
     return out
 
 
@@ -376,7 +390,7 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words
     shared = met.filter(f"slot < 0 AND gram < {LOW}").groupBy("id").agg(F.count(F.lit(1)).alias("shared"))
     top, bottom = threshold
     may = reps.join(shared, F.col("rep") == F.col("id"), "left").filter(F.expr(f"low - coalesce(shared, 0) <= n - (n * {top} + {bottom - 1}) DIV {bottom}"))
-    may = written(may.select(F.col("rep").alias("id")), "open-sets")
+    may = written(may.select(F.col("rep").alias("id"), F.col("n").alias("size")), "open-sets")
     met = written(met.join(may, "id", "left_semi").withColumn("pivot", F.min("id").over(here)).withColumn("n", F.count(F.lit(1)).over(here)).filter("n > 1 OR slot >= 0"), "shared-grams")
 
     # Every document with the smallest id under each n-gram; slots of one n-gram meet at its smallest.
@@ -405,11 +419,10 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words
         F.max_by("comp", size).alias("main"), (F.sum("n") - F.max("n")).alias("n_out"), (F.sum("sign") - F.max_by("sign", size)).alias("sign")
     ).filter("n_out > 0")
     group = ["main", "n_out", "sign"]
-    members = written(open_.join(parts, "gram").select(*group, "id", "comp").distinct(), "open-groups")
-    half = block // 2
-    n_main = members.filter("comp = main").groupBy(*group).agg(F.ceil(F.count(F.lit(1)) / half).cast("int").alias("k_main"))
-    left = members.join(n_main, group).withColumn("k_out", F.ceil(F.col("n_out") / half).cast("int"))
-    is_main = F.col("comp") == F.col("main")
+    members = written(open_.join(parts, "gram").select(*group, "id", "comp").distinct().join(may, "id"), "open-groups")
+    is_main, half = F.col("comp") == F.col("main"), block // 2
+    n_blocks = lambda side: F.least(F.ceil(F.count_if(side) / half), F.ceil(F.sum(F.when(side, F.col("size"))) / GRAMS)).cast("int")
+    left = members.join(members.groupBy(*group).agg(n_blocks(is_main).alias("k_main"), n_blocks(~is_main).alias("k_out")), group)
     at = F.pmod(F.xxhash64("id"), F.when(is_main, F.col("k_main")).otherwise(F.col("k_out"))).cast("int")
     up_to = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     cells = F.when(is_main, F.transform(up_to("k_out"), lambda t: F.struct(F.lit("main").alias("kind"), F.col("at").alias("i"), t.alias("j")))).otherwise(F.concat(

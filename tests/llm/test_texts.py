@@ -110,6 +110,8 @@ def test_jaccard_hot_groups_and_chains(spark, monkeypatch):
     """Frequent n-grams, small blocks and slots: groups of near copies that no single block holds."""
     draw = np.random.default_rng(5)
     monkeypatch.setattr(jaccard, "FREQUENT", 3)
+    monkeypatch.setattr(jaccard, "GRAMS", 1)  # blocks of two documents
+    monkeypatch.setattr(jaccard, "TOGETHER", 64)
     base = [[f"w{draw.integers(1000)}" for _ in range(60)] for _ in range(3)]
     rows = []
     for i in range(150):
