@@ -143,31 +143,34 @@ def pagerank(edges: DataFrame, m: float = 0.15, tol: float = 1e-9, max_iter: int
 # --- Kalman filter --------------------------------------------------------------------------
 
 
-def _gains(theta1: float, theta2: float, start: float, most: int = 1_000_000) -> tuple[np.ndarray, np.ndarray]:
-    """Gains per step until they stand still; they depend on the step only, not on the data.
+def _next_gains(state: tuple[float, ...], theta1: float, theta2: float) -> tuple[float, ...]:
+    """One step of the gain recursion, which depends on the step only, not on the data.
 
-    p, q, s are the covariances of the two state terms that move up by one place each step.
+    A state holds the covariances p, q, s of the two terms that move up by one place each step, the
+    two gains of the last step, and the second gain of the step before it.
     """
-    k1, k2 = [], []
-    p, q, s = start, 0.0, start
-    while len(k1) < most:
-        g1, g2 = (q + theta1) / (p + 1.0), theta2 / (p + 1.0)
-        k1.append(g1)
-        k2.append(g2)
-        if len(k1) > 2 and k1[-2] == g1 and k2[-2] == g2:
+    p, q, s, _, before, _ = state
+    g1, g2 = (q + theta1) / (p + 1.0), theta2 / (p + 1.0)
+    return (s + theta1 * theta1 - g1 * (q + theta1), theta1 * theta2 - g1 * theta2, theta2 * theta2 - g2 * theta2, g1, g2, before)
+
+
+def _gain_states(theta1: float, theta2: float, start: float, steps: int, every: int) -> list[tuple[float, ...]]:
+    """States at every so many steps; the last one holds for all later steps if the gains stand still."""
+    state, before, states = (start, 0.0, start, 0.0, 0.0, 0.0), None, []
+    for step in range(steps):
+        if step % every == 0:
+            states.append(state)
+        state, before, older = _next_gains(state, theta1, theta2), state, before
+        if state in (before, older):  # also when it swings by a rounding
+            states.append(state)
             break
-        p, q, s = s + theta1 * theta1 - g1 * (q + theta1), theta1 * theta2 - g1 * theta2, theta2 * theta2 - g2 * theta2
-    return np.array(k1), np.array(k2)
+    return states
 
 
-def _run_chunk(values, first: int, k1, k2, e1: float, e2: float):
-    """Innovations of one chunk from the two innovations before it: e = y - k1 e1 - k2 e2."""
-    last = len(k1) - 1
+def _run_chunk(values, gains, e1: float, e2: float):
+    """Innovations of one chunk from the two innovations before it: e = y - g1 e1 - g2 e2."""
     out = np.empty(len(values))
-    for n, y in enumerate(values):
-        t = first + n  # place in the series, from 0
-        g1 = k1[min(t - 1, last)] if t >= 1 else 0.0
-        g2 = k2[min(t - 2, last)] if t >= 2 else 0.0
+    for n, (y, (g1, g2)) in enumerate(zip(values, gains, strict=True)):
         out[n] = y - g1 * e1 - g2 * e2
         e1, e2 = out[n], e1
     return out
@@ -192,19 +195,27 @@ def kalman_ma(
     reports how it carries them on, the chunks of a series are chained over those few numbers,
     and then all chunks run at once: a long series is not bound to one task.
     """
-    k1, k2 = _gains(theta1, theta2, start)
     means = series.groupBy(key).agg(F.avg(value).alias("_mean"))
     placed = row_number_within(series, [key], list(order), "at", hot_rows).join(means, key)
     placed = placed.withColumn("_x", F.col(value) - F.col("_mean")).withColumn("_chunk", F.expr(f"(at - 1) div {chunk_rows}"))
     placed = written(placed, "series")
+    longest = placed.agg(F.max("at")).first()[0] or 0
+    states = _gain_states(theta1, theta2, start, longest, chunk_rows)
+
+    def gains_of(chunk: int, n: int) -> list[tuple[float, float]]:
+        state, out = states[min(chunk, len(states) - 1)], []
+        for _ in range(n):
+            out.append((state[3], state[5]))
+            state = _next_gains(state, theta1, theta2)
+        return out
 
     def carry(keys, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("at")
-        first, x = int(pdf["at"].iloc[0]) - 1, pdf["_x"].to_numpy()
+        x, gains = pdf["_x"].to_numpy(), gains_of(int(keys[1]), len(pdf))
         zeros = np.zeros(len(x))
-        own = _run_chunk(x, first, k1, k2, 0.0, 0.0)
-        from1 = _run_chunk(zeros, first, k1, k2, 1.0, 0.0)
-        from2 = _run_chunk(zeros, first, k1, k2, 0.0, 1.0)
+        own = _run_chunk(x, gains, 0.0, 0.0)
+        from1 = _run_chunk(zeros, gains, 1.0, 0.0)
+        from2 = _run_chunk(zeros, gains, 0.0, 1.0)
 
         def ends(e, before1, before2):
             return [e[-1], e[-2] if len(e) > 1 else before1]
@@ -222,8 +233,8 @@ def kalman_ma(
 
     def run(keys, pdf: pd.DataFrame, begin: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("at")
-        first, x = int(pdf["at"].iloc[0]) - 1, pdf["_x"].to_numpy()
-        e = _run_chunk(x, first, k1, k2, float(begin["e1"].iloc[0]), float(begin["e2"].iloc[0]))
+        x, gains = pdf["_x"].to_numpy(), gains_of(int(pdf["at"].iloc[0] - 1) // chunk_rows, len(pdf))
+        e = _run_chunk(x, gains, float(begin["e1"].iloc[0]), float(begin["e2"].iloc[0]))
         return pd.DataFrame({"_key": pdf[key], "at": pdf["at"], "_f": x - e})
 
     key_type = series.schema[key].dataType.simpleString()

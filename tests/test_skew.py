@@ -245,6 +245,20 @@ def test_pagerank(spark):
     assert [rank[i] for i in range(n)] == pytest.approx(list(x), abs=1e-9)
 
 
+def test_kalman_gains_that_never_settle(spark):
+    """Both roots on the unit circle: the gains creep on for ever, across chunks too."""
+    y = np.random.default_rng(4).normal(3, 1, 90)
+    df = spark.createDataFrame([("a", i, i, float(v)) for i, v in enumerate(y)], "series string, t long, id long, value double")
+    got = {r["at"]: r["forecast"] for r in linalg.kalman_ma(df, 2.0, 1.0, chunk_rows=7).collect()}
+    shift, r = np.eye(3, k=1), np.array([1.0, 2.0, 1.0])
+    m, c = np.zeros(3), np.eye(3) * 1e7
+    for at, v in enumerate(y - y.mean(), 1):
+        m, c = shift @ m, shift @ c @ shift.T + np.outer(r, r)
+        assert got[at] == pytest.approx(m[0] + y.mean(), abs=1e-6)
+        gain = c[:, 0] / c[0, 0]
+        m, c = m + gain * (v - m[0]), c - np.outer(gain, c[0])
+
+
 def test_kalman_in_chunks(spark):
     rng = np.random.default_rng(2)
     rows = [("a" if i % 3 else "b", i, i, float(v)) for i, v in enumerate(rng.normal(5, 2, 200))]
