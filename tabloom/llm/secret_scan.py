@@ -204,8 +204,15 @@ def _labelled(text: str) -> Iterator[tuple[np.ndarray, list[int]]]:
 
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Field | None:
-    """Fit on at most ``sample`` texts, chosen by a hash of the key among those with a chunk; None without any."""
-    rows = docs.select(text_of(text).alias("text"), F.xxhash64(key).alias("_h")).filter(F.col("text").rlike("[0-9]|[A-Za-z]{24}") & (F.length("text") < 20_000))
+    """Fit on at most ``sample`` texts with a chunk, those of the lowest hash of the key; None without any.
+
+    Only the lowest hashes, forty rows for each one wanted, are looked at, so that the tasks together
+    send a bounded number of texts to the driver however many there are.
+    """
+    rows = docs.select(text_of(text).alias("text"), F.xxhash64(key).alias("_h"))
+    if (n := docs.count()) > 40 * sample:
+        rows = rows.filter(F.col("_h") < int(2**64 * (40 * sample / n)) - 2**63)
+    rows = rows.filter(F.col("text").rlike("[0-9]|[A-Za-z]{24}") & (F.length("text") < 20_000))
     picked = rows.orderBy("_h", "text").limit(sample).collect()
     sequences = [x for row in picked for x in _labelled(row["text"])]
     # Half the weight goes to copies that don't see the words around, so a secret's shape alone can tell.
