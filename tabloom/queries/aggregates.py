@@ -182,13 +182,14 @@ def a21(spark, sf):
 
 @query(
     "a22_pivot_mean",
-    """SELECT o_orderpriority, round(avg(o_totalprice) FILTER (year(o_orderdate) = 1996), 4) AS "1996",
-      round(avg(o_totalprice) FILTER (year(o_orderdate) = 1997), 4) AS "1997" FROM orders GROUP BY 1""",
+    "SELECT o_orderpriority, "
+    + ", ".join(f'round(avg(o_totalprice) FILTER (year(o_orderdate) = {y}), 4) AS "{y}"' for y in fx.ORDER_YEARS)
+    + " FROM orders GROUP BY 1",
 )
 def a22(spark, sf):
     orders = table(spark, sf, "orders").withColumn("y", F.year("o_orderdate"))
-    wide = agg.pivot_mean(orders, "o_orderpriority", "y", "o_totalprice", [1996, 1997])
-    return wide.select("o_orderpriority", F.round("1996", 4).alias("1996"), F.round("1997", 4).alias("1997"))
+    wide = agg.pivot_mean(orders, "o_orderpriority", "y", "o_totalprice", fx.ORDER_YEARS)
+    return wide.select("o_orderpriority", *[F.round(f"{y}", 4).alias(f"{y}") for y in fx.ORDER_YEARS])
 
 
 @query(

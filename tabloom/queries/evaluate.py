@@ -232,7 +232,7 @@ def m28(spark, sf):
 
 @query("m29_elbow")
 def m29(spark, sf):
-    return cluster.elbow(fx.points(spark, sf), ["x", "y"], range(2, 6))
+    return cluster.elbow(fx.points(spark, sf), ["x", "y"])
 
 
 @query(

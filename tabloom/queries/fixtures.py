@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from tabloom.queries.registry import table
 
+#: The years that the given orders span.
+ORDER_YEARS = list(range(1995, 2002))
+
 # --- server log lines -------------------------------------------------------------------
 
 

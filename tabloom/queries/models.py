@@ -145,7 +145,7 @@ def m11(spark, sf):
 @query("m12_compare_models")
 def m12(spark, sf):
     rows = labelled_vectors(spark, sf, 3).cache()
-    out = models.compare_models(rows, {"logistic": LogisticRegression(maxIter=5), "tree": DecisionTreeClassifier(maxDepth=3)}, folds=2)
+    out = models.compare_models(rows, {"logistic": LogisticRegression(maxIter=5), "tree": DecisionTreeClassifier(maxDepth=3)}, folds=5)
     rows.unpersist()
     return out
 
@@ -160,7 +160,7 @@ def m13(spark, sf):
 
 @query("m14_cross_validated_prediction")
 def m14(spark, sf):
-    return models.cv_predict(labelled_vectors(spark, sf, 3), LogisticRegression(maxIter=5), "id", 3)
+    return models.cv_predict(labelled_vectors(spark, sf, 3), LogisticRegression(maxIter=5), "id", 5)
 
 
 @query("m19_learning_curve")
@@ -187,7 +187,7 @@ def m21_rfe(spark, sf):
 
 @query("m22_forward_selection")
 def m22(spark, sf):
-    return models.forward_select(order_rows(spark, sf), NUMBERS, DecisionTreeClassifier(maxDepth=3), "id", n=2)
+    return models.forward_select(order_rows(spark, sf), NUMBERS, DecisionTreeClassifier(maxDepth=3), "id", n=3)
 
 
 @query("m23_incremental_features")

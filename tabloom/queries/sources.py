@@ -101,13 +101,15 @@ def s09(spark, sf):
     return readers.read_zip_city(spark, path)
 
 
+def _yearly(y: int) -> str:
+    return f'CAST(max(CASE WHEN y = {y} AND n % 3 <> 0 THEN CASE WHEN n % 5 = 0 THEN -n ELSE n END END) AS DOUBLE) AS "{y}"'
+
+
 @query(
     "s10_read_eurostat",
-    """WITH cells AS (SELECT o_orderpriority AS unit, o_orderstatus AS geo, year(o_orderdate) AS y, count(*) AS n
+    f"""WITH cells AS (SELECT o_orderpriority AS unit, o_orderstatus AS geo, year(o_orderdate) AS y, count(*) AS n
       FROM orders GROUP BY 1, 2, 3)
-    SELECT 'N' AS sectfund, replace(unit, ' ', '_') AS unit, geo,
-      CAST(max(CASE WHEN y = 1996 AND n % 3 <> 0 THEN n END) AS DOUBLE) AS "1996",
-      CAST(max(CASE WHEN y = 1997 AND n % 3 <> 0 THEN n END) AS DOUBLE) AS "1997"
+    SELECT 'N' AS sectfund, replace(unit, ' ', '_') AS unit, geo, {", ".join(map(_yearly, fx.ORDER_YEARS))}
     FROM cells GROUP BY 1, 2, 3""",
 )
 def s10(spark, sf):
@@ -120,15 +122,16 @@ def s10(spark, sf):
             F.year("o_orderdate").alias("y"),
         )
         .groupBy(packed)
-        .pivot("y", [1996, 1997])
+        .pivot("y", fx.ORDER_YEARS)
         .count()
     )
 
     def flagged(y):
-        cell = F.concat(F.col(y).cast("string"), F.lit(" e"))
-        return F.when(F.col(y) % 3 == 0, ": ").otherwise(cell).alias(f"{y} ")
+        n = F.col(f"{y}")
+        signed = F.when(n % 5 == 0, -n).otherwise(n)
+        return F.when(n % 3 == 0, ": ").otherwise(F.concat(signed.cast("string"), F.lit(" e"))).alias(f"{y} ")
 
-    wide.select(packed, flagged("1996"), flagged("1997")).write.option("header", True).option("sep", "\t").csv(path)
+    wide.select(packed, *map(flagged, fx.ORDER_YEARS)).write.option("header", True).option("sep", "\t").csv(path)
     return readers.read_eurostat(spark, path)
 
 
@@ -211,11 +214,11 @@ def s18(spark, sf):
     return spark.table(name)
 
 
-@query("s19_save_partitioned", "SELECT event_type, event_id, value FROM events WHERE event_type = 'click'")
+@query("s19_save_partitioned", "SELECT event_type, event_id, value FROM events")
 def s19(spark, sf):
     path = scratch_path(spark, "by-type")
     writers.save_partitioned(table(spark, sf, "events").select("event_type", "event_id", "value"), path, "event_type")
-    return readers.load(spark, path).filter("event_type = 'click'")
+    return readers.load(spark, path)
 
 
 @query(
@@ -231,17 +234,18 @@ def s20(spark, sf):
 
 @query(
     "s21_save_documents",
-    "SELECT c_custkey AS zip, c_name AS city, c_mktsegment AS weather FROM customer",
+    """SELECT c_custkey AS zip, c_name AS city, c_mktsegment AS weather,
+      CAST(DATE '2020-01-01' + CAST(c_custkey % 365 AS INTEGER) AS VARCHAR) AS created_at FROM customer""",
 )
 def s21(spark, sf):
     path = scratch_path(spark, "documents")
     rows = table(spark, sf, "customer").selectExpr(
-        "c_custkey AS zip", "c_name AS city", "current_timestamp() AS created_at",
+        "c_custkey AS zip", "c_name AS city", "string(date_add(DATE'2020-01-01', int(c_custkey % 365))) AS created_at",
         "to_json(named_struct('main', c_mktsegment)) AS weather",
     )
     writers.save_documents(rows, path)
     back = readers.read_json(spark, path, "zip long, city string, created_at string, weather string")
-    return back.select("zip", "city", F.get_json_object("weather", "$.main").alias("weather"))
+    return back.select("zip", "city", F.get_json_object("weather", "$.main").alias("weather"), "created_at")
 
 
 @query(
