@@ -1,9 +1,11 @@
-"""Approximate nearest neighbours by a permutation index, searched block by block.
+"""Nearest neighbours by a permutation index, searched block by block.
 
 A vector is stood for by its nearest pivots in order. Each block of vectors keeps an inverted file:
 for every pivot the vectors that have it among their nearest, with the place it takes. A query adds
 up its footrule distance over the files of its own pivots, takes the nearest part of the block, and
-ranks that by the true inner product. Equal vectors are one entry of the index.
+ranks that by the true inner product. Of the rest, those follow whose inner product could still reach
+the last of the best, by their projections on the span of some pivots: nothing is lost at any size.
+Equal vectors are one entry of the index.
 """
 
 from __future__ import annotations
@@ -18,8 +20,8 @@ from tabloom.plans.storage import written
 
 #: Pivots, and how many of them, in order, stand for a vector. They are the bounded sample of the fit.
 PIVOTS, NEAREST = 128, 32
-#: The part of a block that is ranked by the true measure, and its least number of vectors.
-PART, LEAST = 0.35, 2048
+#: The part of a block that is ranked first, and its least number of vectors for each one wanted.
+PART, LEAST = 0.35, 4
 BLOCK, QUERY_BLOCK = 8192, 256
 
 
@@ -44,9 +46,16 @@ class Block:
         by = np.argsort(order.ravel(), kind="stable")
         self.rows, self.place = rows[by], place[by].astype(np.float32)
         self.start = np.searchsorted(order.ravel()[by], np.arange(len(pivots) + 1))
+        self.basis = np.linalg.qr(pivots[:nearest].T)[0]
+        self.inner, self.rest, self.norm = self._projected(vectors)
+
+    def _projected(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Coordinates in the span of the first pivots, the norms of what lies outside, and the whole norms."""
+        inner = vectors @ self.basis
+        return inner, np.linalg.norm(vectors - inner @ self.basis.T, axis=-1), np.linalg.norm(vectors, axis=-1)
 
     def search(self, query: np.ndarray, order: np.ndarray, most: int, part: float, least: int) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and scores of candidates, all of them if there are few."""
+        """Rows and scores of the candidates by the index, and of all others that could be among the ``most`` best."""
         n, m = len(self.vectors), self.nearest
         take = max(least, most, int(np.ceil(part * n)))
         if take >= n:
@@ -58,20 +67,28 @@ class Block:
                 a, b = self.start[pivot], self.start[pivot + 1]
                 saved[self.rows[a:b]] += 2 * m - at - self.place[a:b] - np.abs(self.place[a:b] - at)
             rows = np.argpartition(-saved, take - 1)[:take]
+            scores = self.vectors[rows] @ query
+            last = np.partition(scores, take - most)[take - most]
+            inner, rest, norm = self._projected(query)
+            bound = self.inner @ inner + self.rest * rest + 1e-9 * self.norm * norm  # and the rounding
+            bound[rows] = -np.inf
+            rows = np.concatenate([rows, np.flatnonzero(~(bound < last))])
         return rows, self.vectors[rows] @ query
 
 
 def search(
     table: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "embedding", k: int = 20,
-    pivots: int = PIVOTS, nearest: int = NEAREST, part: float = PART, least: int = LEAST, block: int = BLOCK, query_block: int = QUERY_BLOCK,
+    pivots: int = PIVOTS, nearest: int = NEAREST, part: float = PART, least: int | None = None, block: int = BLOCK, query_block: int = QUERY_BLOCK,
 ) -> DataFrame:
     """For each query row its ``k`` nearest other rows by inner product: query_id, rank, vec_id, score.
 
     Ties go to the smaller id. Vectors that are null, zero, hold null or non-finite components, or
-    whose length differs from that of the pivots take no part. Rows that repeat an id with an equal
+    whose length differs from that of the pivots take no part. ``least`` candidates come by the index,
+    ``LEAST`` for each one wanted if not given; the result is exact at every size. Rows that repeat an id with an equal
     vector count once. Other columns are not read; an empty table gives no rows.
     """
     spark = table.sparkSession
+    least = LEAST * (k + 1) if least is None else least
     rows = table.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), is_query.alias("asks"))
     rows = rows.filter(F.col("id").isNotNull() & usable(F.col("v")))
     # Of equal vectors the k + 1 smallest ids can be among the nearest; the plan limits groups before it shuffles.

@@ -114,6 +114,30 @@ def test_neighbours(spark):
         assert hits / total >= least
 
 
+def test_neighbours_are_whole_at_every_size(spark):
+    """The registered parameters against brute force, where the index has to choose."""
+    draw = np.random.default_rng(7)
+    for n in (300, 4000):
+        x = draw.normal(size=(n, 64))
+        table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+        got = {}
+        for r in sorted(neighbours.search(table, F.col("vec_id") % 100 == 0).collect(), key=lambda r: r["rank"]):
+            got.setdefault(r.query_id, []).append(r.vec_id)
+        for i in range(0, n, 100):
+            assert got[i] == [j for j in np.lexsort((np.arange(n), -(x @ x[i]))) if j != i][:20]
+
+
+def test_neighbours_prune_what_cannot_be_near():
+    draw = np.random.default_rng(8)
+    middle = draw.normal(size=(16, 64))
+    x = middle[draw.integers(16, size=1500)] + 0.02 * draw.normal(size=(1500, 64))
+    pivots = x[:128]
+    block = neighbours.Block(x, pivots, neighbours.NEAREST)
+    rows, scores = block.search(x[0], neighbours.places(x[:1], pivots, neighbours.NEAREST)[0], 21, neighbours.PART, neighbours.LEAST * 21)
+    assert len(rows) < 750 and len(set(rows.tolist())) == len(rows)
+    assert np.allclose(np.sort(scores)[-21:], np.sort(x @ x[0])[-21:])
+
+
 def test_neighbours_odd_rows(spark):
     rows = [(i, [1.0, 0.0], i) for i in range(40)] + [(100, [0.0, 0.0], 1), (120, None, 1), (140, [None, 1.0], 1), (160, [float("nan"), 1.0], 1), (180, [float("inf"), 1.0], 1), (200, [0.5, 1.0], 1), (200, [0.5, 1.0], 1)]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, id long")
