@@ -24,6 +24,14 @@ KINDS = {
 }
 PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
 ROUNDS = 8
+#: Characters of an IBAN by country, for those that have one.
+IBAN_SIZES = {
+    size: countries.split() for size, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FO GL NL SD FK", 19: "MK SI", 20: "AT BA EE KZ LT LU XK MN", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+        23: "AE GI IL IQ TL OM SO", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+        28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+}
 #: Days of the 400 years that repeat in the calendar, as 189 x 773; the first of them.
 CYCLE, SPLIT, FIRST_DAY = 146_097, 773, "1800-01-01"
 
@@ -86,6 +94,46 @@ def _only(value: str, keep: str) -> str:
     return f"regexp_replace({value}, '[^{keep}]', '')"
 
 
+def _card_valid(value: str) -> str:
+    digits = _only(value, "0-9")
+    return _let("cd", digits, f"{_luhn('substr(cd, 1, length(cd) - 1)')} % 10 = (10 - CAST(substr(cd, -1, 1) AS INT)) % 10")
+
+
+def _card_end(value: str) -> str:
+    """Length of the shortest beginning of 13 to 19 digits, up to a separator, whose check holds; else of all."""
+    ends = ", ".join(f"regexp_extract({value}, {_quoted(f'^[0-9](?:[ -]?[0-9]){{{n - 1}}}(?![0-9])')}, 0)" for n in range(13, 20))
+    return f"coalesce(get(transform(filter(array({ends}), e -> e <> '' AND {_card_valid('e')}), e -> length(e)), 0), length({value}))"
+
+
+def _iban_end(value: str) -> str:
+    """Length of the beginning of as many characters as the country has, up to a separator; else of all."""
+    sizes = " ".join(
+        f"WHEN substr({value}, 1, 2) IN ({', '.join(map(repr, countries))}) THEN regexp_extract({value}, {_quoted(f'^[A-Z0-9](?: ?[A-Z0-9]){{{n - 1}}}(?![A-Z0-9])')}, 0)"
+        for n, countries in IBAN_SIZES.items()
+    )
+    return _let("e", f"CASE {sizes} ELSE '' END", f"IF(e = '', length({value}), length(e))")
+
+
+def _end(value: str) -> str:
+    """Length of the part of a match that its kind takes; what follows is searched again."""
+    card, iban = (f"{value} RLIKE {_quoted('^(?:' + KINDS[k] + ')$')}" for k in ("card", "iban"))
+    return f"CASE WHEN {iban} THEN {_iban_end(value)} WHEN {card} THEN {_card_end(value)} ELSE length({value}) END"
+
+
+def _parts(text: str) -> str:
+    """The text, cut behind each card or IBAN whose match runs on beyond its end."""
+    ends = lambda hits: f"transform({hits}, v -> {_end('v')})"
+    at = "aggregate(sequence(0, i), 0, (p, j) -> p + length(gaps[j]) + IF(j < i, length(hits[j]), ends[j]))"
+    cut = _let("at", at, "named_struct('done', concat(z.done, array(left(z.rest, at))), 'rest', substr(z.rest, at + 1))")
+    first = "get(filter(sequence(0, size(hits) - 1), j -> ends[j] < length(hits[j])), 0)"
+    over = "named_struct('done', concat(z.done, array(z.rest)), 'rest', CAST(NULL AS STRING))"
+    found = _let("i", f"IF(size(hits) = 0, NULL, {first})", f"IF(i IS NULL, {over}, {_let('gaps', f'split(z.rest, {_quoted(PATTERN)}, -1)', cut)})")
+    step = _let("hits", _found("z.rest"), _let("ends", ends("hits"), found))
+    # A cut leaves at least 13 characters behind it; the last step takes what is left.
+    loop = f"aggregate(sequence(1, length({text}) DIV 13 + 1), named_struct('done', CAST(array() AS array<string>), 'rest', {text}), (z, n) -> IF(z.rest IS NULL, z, {step}), z -> z.done)"
+    return f"IF({text} RLIKE '[0-9]' AND exists({_found(text)}, v -> {_end('v')} < length(v)), {loop}, array({text}))"
+
+
 def pseudonym(kind: str, key: str, back: bool = False) -> str:
     """SQL of the pseudonym of ``v``, or of ``v`` itself where it isn't valid."""
     if kind == "email":
@@ -94,7 +142,10 @@ def pseudonym(kind: str, key: str, back: bool = False) -> str:
     if kind == "card":
         body, check = "substr(v, 1, length(v) - 1)", "substr(v, -1, 1)"
         right = lambda x: _let("d", _only(x, "0-9"), f"CAST((10 - {_luhn('d')} % 10) % 10 AS STRING)")
-        return f"IF({right(body)} = {check}, {_let('w', _chars(body, key, back), f'concat(w, {right(chr(119))})')}, v)"
+        turned = f"IF({right(body)} = {check}, {_let('w', _chars(body, key, back), f'concat(w, {right(chr(119))})')}, v)"
+        # Numbers with a valid shorter beginning are read otherwise, so the network walks on to one without.
+        walk = _let("v", "m.v", _let("u", turned, f"named_struct('v', u, 'ok', {_card_end('u')} = length(u))"))
+        return f"aggregate(sequence(1, 60), named_struct('v', v, 'ok', false), (m, n) -> IF(m.ok, m, {walk}), m -> m.v)"
     if kind == "iban":
         plain = _only("v", "A-Z0-9")
         valid = _let("p", plain, f"{_mod97('concat(substr(p, 5), substr(p, 1, 4))')} = 1")
@@ -149,22 +200,22 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", back: bool = Fal
     """The rows with ``text`` rewritten and a new column ``private``: array of (kind, value, pseudonym).
 
     Emails, IBANs, dates from 1800 to 2199, social security numbers, IPv4 addresses, phone numbers and
-    card numbers; those that fail their check stay as they are and aren't listed. ``back`` undoes it
+    card numbers; those that fail their check stay as they are and aren't listed. A card ends at the
+    first separator where 13 to 19 digits pass the check, an IBAN where its country's length does, and
+    the search goes on behind them. ``back`` undoes it
     with the same ``key``. Null texts stay null, with no entries; empty ones stay empty. A column
     named ``private`` is replaced; other columns pass through. An empty table gives none.
     """
     cases = " ".join(f"WHEN '{k}' THEN {pseudonym(k, key, back)}" for k in KINDS)
     body = f"`{text}`"
-    kinds = f"transform({_found(body)}, v -> {_let('k', _kind('v'), f'named_struct({chr(39)}kind{chr(39)}, k, {chr(39)}value{chr(39)}, v, {chr(39)}pseudonym{chr(39)}, CASE k {cases} ELSE v END)')})"
+    kinds = f"transform({_found('part')}, v -> {_let('k', _kind('v'), f'named_struct({chr(39)}kind{chr(39)}, k, {chr(39)}value{chr(39)}, v, {chr(39)}pseudonym{chr(39)}, CASE k {cases} ELSE v END)')})"
     none = "CAST(array() AS array<struct<kind:string,value:string,pseudonym:string>>)"
-    hits = F.expr(f"IF({body} RLIKE '[0-9@]', {kinds}, {none})")
-    new = F.expr(
-        f"IF(size(_hits) > 0, array_join(zip_with(split({body}, {_quoted(PATTERN)}, -1), _hits, "
-        f"(gap, hit) -> concat(gap, coalesce(hit.pseudonym, ''))), ''), {body})"
-    )
-    listed = F.expr(f"coalesce(filter(_hits, x -> x.value <> x.pseudonym), {none})")
+    hits = F.expr(f"IF({body} RLIKE '[0-9@]', transform(_parts, part -> {kinds}), array({none}))")
+    joined = f"array_join(zip_with(split(part, {_quoted(PATTERN)}, -1), found, (gap, hit) -> concat(gap, coalesce(hit.pseudonym, ''))), '')"
+    new = F.expr(f"IF(exists(_hits, found -> size(found) > 0), array_join(zip_with(_parts, _hits, (part, found) -> {joined}), ''), {body})")
+    listed = F.expr(f"coalesce(filter(flatten(_hits), x -> x.value <> x.pseudonym), {none})")
     columns: list[Column] = [new.alias(text) if c == text else F.col(c) for c in docs.columns if c != "private"]
-    return docs.drop("private").withColumn("_hits", hits).select(*columns, listed.alias("private"))
+    return docs.drop("private").withColumn("_parts", F.expr(_parts(body))).withColumn("_hits", hits).select(*columns, listed.alias("private"))
 
 
 def mask(docs: DataFrame, key: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:

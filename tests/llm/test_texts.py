@@ -158,3 +158,24 @@ def test_pseudonyms(spark, small, odd, none):
             rest = rest.replace(v, p, 1)
         assert rest == r.text or r.n_private > 1
     assert pii.mask(odd, "k").count() == odd.count() and pii.mask(none, "k").count() == 0
+
+
+def test_pseudonyms_end_before_what_follows(spark):
+    """Cards and IBANs whose greedy match runs on; what follows them is searched as well."""
+    card, iban = "4111 1111 1111 1111", "ES91 2100 0418 4502 0005 1332"
+    values = {
+        f"{card} 12/27": [card], f"{card} 123": [card], f"x {card} 12/27/2025 {card} 999 y": [card, "12/27/2025", card], f"{card} 123-45-6789": [card, "123-45-6789"],
+        f"pay {iban} BIC now": [iban], f"{iban} ABC {card} 12 a@b.cc": [iban, card, "a@b.cc"], "ES91 2100 0418 4502 0005 1333 BIC": [], "4111 1111 1111 1112 123": [], "378282246310005 1234": ["378282246310005"],
+    }
+    more = [f"{card[:-7]}{i:02d} {i * 7 % 10}{i % 10}11 {i:02d}/27" for i in range(100)]  # chance lets longer ends pass, too
+    docs = spark.createDataFrame(list(enumerate([*values, *more])), "doc_id long, text string")
+    for key in ("k", "other"):
+        out = pii.pseudonymise(docs, key)
+        found = {r.doc_id: r for r in out.collect()}
+        for i, (text, want) in enumerate(values.items()):
+            assert [p.value for p in found[i].private] == want, text
+            for p in found[i].private:
+                text = text.replace(p.value, p.pseudonym, 1) if len(set(want)) == len(want) else text
+            assert found[i].text == text or len(set(want)) < len(want)
+        back = pii.pseudonymise(out, key, back=True).orderBy("doc_id").collect()
+        assert [r.text for r in back] == [*values, *more]
