@@ -1,8 +1,9 @@
 """Secrets in texts: fixed patterns, and a linear-chain conditional random field over tokens.
 
 The field tags the tokens of every chunk that could hold a secret as begin, inside or outside, from
-their shape, the words around them and features of the whole text. Plain words can't carry a tag, so
-the chain of a text falls apart at them and each chunk is decoded by Viterbi on its own, exactly.
+their shape, the words around them and features of the whole text. Plain words that follow no cue
+can't carry a tag, so the chain of a text falls apart at them and each chunk is decoded by Viterbi on
+its own, exactly.
 Weights are fitted on a bounded sample in which the fixed patterns give the labels.
 """
 
@@ -34,9 +35,17 @@ SAMPLE = 2000
 _DIGITS = re.compile(r"[0-9]+")
 _LONG = re.compile(r"[A-Za-z]{24,}")
 _CHUNK_LEFT = re.compile(r"[A-Za-z0-9+/_.=~-]")
+_MIXED = re.compile(r"[a-z][A-Z]")
+_PLAIN = re.compile(r"(?<![\w/+=.-])[A-Z]?[a-z]{1,14}(?![\w/+=-])")
+#: A word that announces a secret, and what follows it behind a sign or white space; one value may be a cue itself.
+_AFTER_CUE = re.compile(
+    r"""(?i:pass(?:word|wd|phrase)?|pwd|secret|token|api_?key|credential|auth(?:orization|entication)?|bearer|private|key)s?["']?(?:\s*[:=]\s*|\s+)["']?(?=([A-Za-z0-9+/_.=~-]+))"""
+)
+#: What every text with a chunk has, for the plan.
+_SEEDED = "[0-9]|[A-Za-z]{24}|[a-z][A-Z]|(?i:pass|pwd|secret|token|key|credential|auth|bearer|private)"
 _TOKEN = re.compile(r"[A-Za-z0-9]+|[^A-Za-z0-9]")
 _SIDE = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=~-")
-_CUE = re.compile(r"pass(?:word|wd|phrase)?|secret|token|api_?key|credential|auth|bearer|private|key", re.IGNORECASE)
+_CUE = re.compile(r"pass(?:word|wd|phrase)?|pwd|secret|token|api_?key|credential|auth|bearer|private|key", re.IGNORECASE)
 _WORD_BEFORE = re.compile(r"([^\W\d_]+)[^\w]*$")
 _LEAD = 24  # characters before a chunk that hold its neighbouring word and marks
 
@@ -52,9 +61,10 @@ def base_spans(text: str) -> list[Span]:
 
 
 def chunks(text: str) -> list[tuple[int, int]]:
-    """Runs of secret-like characters with a digit, with 24 letters in a row, or after an assignment."""
+    """Runs of secret-like characters with a digit, 24 letters in a row or mixed case, or after an assignment or a cue."""
     found: list[tuple[int, int]] = []
     seeds = [m.span() for m in _DIGITS.finditer(text)] + [m.span() for m in _LONG.finditer(text)] + [m.span(2) for m in ASSIGN.finditer(text)]
+    seeds += [m.span() for m in _MIXED.finditer(text)] + [m.span(1) for m in _AFTER_CUE.finditer(text)]
     done = 0
     for a, b in sorted(seeds):
         if a < done:
@@ -203,21 +213,57 @@ def _labelled(text: str) -> Iterator[tuple[np.ndarray, list[int]]]:
         yield features(text, a, b, tokens, whole), tags
 
 
+#: How a secret is announced in the views for training, and whether a sign parts it from its cue.
+_ANNOUNCED = (("password = ", True), ("pwd: ", True), ("passphrase: ", True), ("credential=", True), ("private_key='", True), ("Authorization: Bearer ", False), ("auth token ", False))
+
+
+def _letter_views(text: str, draw: np.random.Generator) -> Iterator[tuple[np.ndarray, list[int]]]:
+    """The base patterns rarely label a value of letters, so each labelled one is seen as such, after other cues, too.
+
+    Words of the text in the same places, and two of them run together without a cue, are no secrets.
+    """
+    whole = whole_features(text)
+    words = _PLAIN.findall(text) or ["word"]
+    plain = lambda: str(draw.choice(words))
+    for m in ASSIGN.finditer(text):
+        if m.end(2) - m.start(2) < 8:
+            continue
+        for cue, sign in _ANNOUNCED:
+            mixed = not sign or draw.random() < 0.5
+            letters = list("abcdefghijklmnopqrstuvwxyz" + "ABCDEFGHIJKLMNOPQRSTUVWXYZ" * mixed)
+            if mixed and sign and draw.random() < 0.5:  # words run together
+                value = plain().lower() + "".join(plain().capitalize() for _ in range(2))
+            else:
+                value = "".join(draw.choice(letters, draw.integers(12 if sign else 16, 41)))
+            joined = plain().capitalize() + plain().capitalize()
+            for before, word, tag in ((cue, value, 1), (cue, plain().lower(), 0), (cue, plain().capitalize(), 0), ("", joined, 0), ("Authorization: ", "Bearer", 0)):
+                lead = f"{text[max(0, m.start() - 100) : m.start()]} {before}"
+                other = f"{lead}{word} {plain()} {text[m.end() : m.end() + 100]}"
+                at, to = len(lead), len(lead) + len(word)
+                for a, b in chunks(other):
+                    if a < to and at < b and (len(word) >= 12) >= tag:
+                        tokens = _tokens(other, a, b)
+                        yield features(other, a, b, tokens, whole), [tag * int(at <= x and y <= to) for x, y in tokens]
+
+
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Field | None:
     """Fit on at most ``sample`` texts with a chunk, those of the lowest hash of the key; None without any.
 
+    Labelled assignments are also seen with values of letters only, after other cues.
     Only the lowest hashes, forty rows for each one wanted, are looked at, so that the tasks together
     send a bounded number of texts to the driver however many there are.
     """
     rows = docs.select(text_of(text).alias("text"), F.xxhash64(key).alias("_h"))
     if (n := docs.count()) > 40 * sample:
         rows = rows.filter(F.col("_h") < int(2**64 * (40 * sample / n)) - 2**63)
-    rows = rows.filter(F.col("text").rlike("[0-9]|[A-Za-z]{24}") & (F.length("text") < 20_000))
+    rows = rows.filter(F.col("text").rlike(_SEEDED) & (F.length("text") < 20_000))
     picked = rows.orderBy("_h", "text").limit(sample).collect()
     sequences = [x for row in picked for x in _labelled(row["text"])]
     # Half the weight goes to copies that don't see the words around, so a secret's shape alone can tell.
     blind = [(rows * _SHAPE_ONLY, tags) for rows, tags in sequences if any(tags)]
-    return train(sequences + blind) if sequences else None
+    draw = np.random.default_rng(0)
+    letters = [x for row in picked for x in _letter_views(row["text"], draw)]
+    return train(sequences + blind + letters) if sequences else None
 
 
 def spans_of(text: str, field: Field | None) -> list[Span]:

@@ -61,6 +61,17 @@ def test_secrets(spark, small, odd, none):
     assert [r.text for r in masked.orderBy("spans").collect()] == ["a [SECRET] b", None]
 
 
+def test_secrets_of_letters(spark):
+    field = secret_scan.fit(read(spark, "/root/testdata/sf0.1", "documents"))
+    secrets = {"Authorization: Bearer ": "QwErTyUiOpAsDfGhJkLzXc", "passphrase: ": "hunterHunterXyz", "credential=": "AbCdEfGhIjKlMnOpQr", "pwd = ": "correcthorsebattery"}
+    for cue, value in secrets.items():
+        assert ("crf", len(cue), len(cue + value)) in secret_scan.spans_of(cue + value, field), cue
+    for text in ("the key idea is simple", "The author Smith and private matters", "password reset is easy", "auth token expired", "JavaScript and McDonald"):
+        assert secret_scan.spans_of(text, field) == [], text
+    masked = secret_scan.redact(spark.createDataFrame([("passphrase: hunterHunterXyz ok",)], "text string"), field)
+    assert masked.first().text == "passphrase: [SECRET] ok"
+
+
 def test_viterbi_is_best():
     draw = np.random.default_rng(1)
     field = secret_scan.Field(draw.normal(size=(4, 3)), draw.normal(size=(3, 3)) + np.array([[0, 0, -1e9], [0, 0, 0], [0, 0, 0]]))
