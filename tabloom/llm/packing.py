@@ -1,9 +1,11 @@
 """Packing of documents into token windows by lexical retrieval.
 
 Each document is tokenised once. Its full windows are sequences of their own; what is left over, less
-than a window, is dealt by a hash over shards of bounded size. A shard holds a BM25 inverted index of
-its leftovers, with document frequencies and the mean length of the whole table. Seed by seed, the
-window is filled greedily with the best unused neighbours of the seed, cut where the window is full.
+than a window, is dealt by content over shards of bounded size: by its best BM25 term that enough
+documents hold, and, where a term has more than a shard, by a least hash of its best terms. A shard
+holds a BM25 inverted index of its leftovers, with document frequencies and the mean length of the
+whole table. Seed by seed, the window is filled greedily with the best unused neighbours of the seed,
+cut where the window is full.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ from tabloom.plans.storage import written
 WINDOW, END = 4096, 2
 #: Tokens of a shard on average, and the terms of a seed that ask the index (its best by BM25).
 SHARD, TERMS = 1_000_000, 24
+#: Leftovers that share a dealing term are at least this part of a shard's, if their terms allow it.
+DEAL_PART = 1 / 8
 K1, B = 1.2, 0.75
 #: Chunks a worker remembers; it forgets all of them beyond that.
 MOST_KNOWN = 700_000
@@ -168,6 +172,78 @@ def _frequencies(counts: DataFrame) -> np.ndarray:
     return out
 
 
+def _hashed(terms: np.ndarray) -> np.ndarray:
+    """A mixed 32-bit number of each term."""
+    x = (terms.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    return (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32)
+
+
+def topics(raw: list[bytes], idf: np.ndarray, mean: float, dealt: np.ndarray, terms: int = TERMS) -> tuple[np.ndarray, np.ndarray]:
+    """Of each leftover its best term among those ``dealt`` (-1: none), and the least hash of its best terms."""
+    sizes = np.array([len(r) // 2 for r in raw], np.int64)
+    both = np.sort(np.repeat(np.arange(len(raw), dtype=np.int64), sizes) << 16 | np.frombuffer(b"".join(raw), "<u2"))
+    first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
+    tf = np.diff(np.concatenate([first, [len(both)]]))
+    doc, term = both[first] >> 16, both[first] & 65535
+    weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * sizes[doc] / mean))
+    usable = dealt[term]
+    order = np.lexsort((term, -weight, ~usable, doc))
+    doc, term, usable = doc[order], term[order], usable[order]
+    start = np.searchsorted(doc, np.arange(len(raw)))
+    best = np.where(usable[start], term[start], -1)
+    # Words that no second document holds say nothing about what belongs together, unless there are no others.
+    top = (np.arange(len(doc)) - start[doc] < terms) & (usable | ~usable[start][doc])
+    least = np.minimum.reduceat(np.where(top, _hashed(term), np.uint64(2**32)), start)
+    return best, least.astype(np.int64)
+
+
+def _deal(rows: DataFrame, idf: np.ndarray, mean: float, frequency: np.ndarray, shards: int, shard: int, n_left: int) -> DataFrame:
+    """``rows`` with a shard each: whole terms side by side up to a shard, larger ones split by the least hash."""
+    if shards == 1:
+        return rows.withColumn("shard", F.lit(0))
+    enough = max(2, int(DEAL_PART * n_left / shards))
+    dealt = frequency >= enough
+    if not dealt.any():
+        dealt = frequency >= 2
+    schema = pa.schema([*((f.name, _arrow(f.dataType.simpleString())) for f in rows.schema), ("topic", pa.int32()), ("least", pa.int64())])
+
+    def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            raw = part.column(part.schema.get_field_index("ids")).to_pylist()
+            for a, b in slices(raw, 4_000_000):
+                best, least = topics(raw[a:b], idf, mean, dealt)
+                yield batch(schema, *(c.slice(a, b - a).cast(f.type) for c, f in zip(part.columns, schema, strict=False)), best.astype(np.int32), least)
+
+    spec = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    known = written(rows.mapInArrow(work, f"{spec}, topic int, least bigint"), "topics")
+    # At most as many rows as the vocabulary has terms.
+    sums = known.groupBy("topic").agg(F.sum("length").alias("n")).orderBy("topic").collect()
+    places, at, room = [], 0, 0
+    for r in sums:
+        if r["n"] > shard:
+            parts = -(-r["n"] // shard)
+            places.append((r["topic"], at + (room > 0), parts))
+            at, room = at + (room > 0) + parts, 0
+        else:
+            if room + r["n"] > shard:
+                at, room = at + 1, 0
+            places.append((r["topic"], at, 1))
+            room += r["n"]
+    table = rows.sparkSession.createDataFrame(places, "topic int, first long, parts long")
+    known = known.join(F.broadcast(table), "topic").withColumn("shard", F.col("first") + F.pmod(F.xxhash64("least"), F.col("parts")))
+    known = known.drop("topic", "least", "first", "parts")
+    # Near copies beyond a shard's size have one hash; any of them belong together.
+    hot, number = [], places[-1][1] + places[-1][2]
+    for r in known.groupBy("shard").agg(F.sum("length").alias("n")).filter(F.col("n") > 2 * shard).orderBy("shard").collect():
+        hot.append((r["shard"], number, -(-r["n"] // shard)))
+        number += hot[-1][2]
+    if not hot:
+        return known
+    known = known.join(F.broadcast(rows.sparkSession.createDataFrame(hot, "shard long, first long, parts long")), "shard", "left")
+    salted = F.col("first") + F.pmod(F.xxhash64("key", "ids", "start"), F.col("parts"))
+    return known.withColumn("shard", F.coalesce(salted, "shard")).drop("first", "parts")
+
+
 class Index:
     """BM25 postings of a shard: for each term the leftovers with it, and their weights."""
 
@@ -323,7 +399,7 @@ def pack(
 
     more = ", ids binary" if with_ids else ""
     spec = f"key {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint{more}"
-    dealt = rows.filter("crc IS NULL").withColumn("shard", F.pmod(F.xxhash64("key", "ids", "start"), F.lit(shards)))
+    dealt = _deal(rows.filter("crc IS NULL").select("key", "start", "length", "doc_tokens", "ids"), idf, mean, frequency, shards, shard, size["n_left"])
     packed = dealt.select("key", "start", "doc_tokens", "ids", "shard").groupBy("shard").applyInArrow(work, spec)
     full = rows.filter("crc IS NOT NULL").select(
         "key", "start", "length", F.col("crc").alias("ids_crc32"), "doc_tokens", (2 * F.monotonically_increasing_id() + 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"),

@@ -179,3 +179,27 @@ def test_pseudonyms_end_before_what_follows(spark):
             assert found[i].text == text or len(set(want)) < len(want)
         back = pii.pseudonymise(out, key, back=True).orderBy("doc_id").collect()
         assert [r.text for r in back] == [*values, *more]
+
+
+def test_packing_related_documents_meet_in_many_shards(spark):
+    draw = np.random.default_rng(4)
+    common, rows = [f"common{i}" for i in range(300)], []
+    for topic in range(40):
+        own = [f"{chr(97 + topic % 26)}{chr(97 + topic // 26)}q{j}z" for j in range(30)]
+        for copy in range(4):
+            rows.append((4 * topic + copy, " ".join([*draw.choice(common, 60), *draw.choice(own, 60)])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = packing.pack(docs, WORDS, window=1024, shard=6000).collect()
+    shard = {r.doc_id: r.sequence_id >> 33 for r in got}
+    assert len(set(shard.values())) >= 10
+    together = sum(shard[4 * t + a] == shard[4 * t + b] for t in range(40) for a in range(4) for b in range(a)) / 240
+    assert together > 0.6  # by chance one in the number of shards
+    text = " ".join(f"word{i}" for i in range(150))
+    same = spark.createDataFrame([(i, f"{text} end{i}") for i in range(200)], "doc_id long, text string")  # one hot term for all
+    got = packing.pack(same, WORDS, window=512, shard=4000).collect()
+    tokenizer = Tokenizer.from_file(WORDS)
+    load = Counter()
+    for r in got:
+        load[r.sequence_id >> 33] += r.length
+    assert len(load) > 5 and max(load.values()) <= 2 * 4000 * 1.5
+    assert sum(r.length for r in got) == sum(len(tokenizer.encode(r.text, add_special_tokens=False).ids) + 1 for r in same.collect())
