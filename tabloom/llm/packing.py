@@ -56,6 +56,9 @@ class _Tokens:
         self.last = np.zeros(65536, bool)
         self.last[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
+        # Added tokens match in the raw text, or in the lower-case one if they are normalized.
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, sorted(added))) or r"(?!)", re.IGNORECASE)
 
     def _alone(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u2").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -84,11 +87,14 @@ class _Tokens:
         """Ids of every text as little-endian 16-bit numbers.
 
         Runs of ASCII marks between letters are words of their own, so they are cut off first, in
-        lower case, where nothing in the text could make that differ. Other texts keep their chunks.
+        lower case, where nothing in the text could make that differ. Other texts keep their chunks,
+        and those with an added token are encoded whole.
         """
         cut: list[list[str] | None] = []
         for text in texts:
-            if not _SPECIAL.search(text):
+            if self.added.search(text):  # they may hold marks, and take white space beside them
+                cut.append(None)
+            elif not _SPECIAL.search(text):
                 cut.append(_MARKS.sub(r" \1 ", text.lower()).split())
             else:  # separators of Python that are not white space to the tokenizer need the whole text
                 cut.append(None if _ODD.search(text) else text.split())

@@ -203,3 +203,8 @@ def test_packing_related_documents_meet_in_many_shards(spark):
         load[r.sequence_id >> 33] += r.length
     assert len(load) > 5 and max(load.values()) <= 2 * 4000 * 1.5
     assert sum(r.length for r in got) == sum(len(tokenizer.encode(r.text, add_special_tokens=False).ids) + 1 for r in same.collect())
+
+
+def test_packing_added_tokens(spark):
+    texts = ["end <|endoftext|> next", "a<|startoftext|>b", "<|endoftext|>", "End <|ENDOFTEXT|> x", "é <|startoftext|>’s <|endoftext|>", "no <| endoftext |> here"]
+    check_packing(packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), WORDS).collect(), dict(enumerate(texts)))
