@@ -8,6 +8,7 @@ Decoding joins token positions with the vocabulary and aggregates the bytes in o
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -22,6 +23,9 @@ LONG_WORD = 64
 MOST_WORDS, MOST_UNITS = 600_000, 300_000
 BLOCK = 100_000
 
+#: A space behind any other white space. The pattern may match across it.
+_OTHER_SPACE = re.compile("[\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000] ")
+
 # One pair of each word a round: the leftmost of the least rank.
 _SHORT = """
 WITH RECURSIVE step(word, ids) USING KEY (word) AS (
@@ -141,14 +145,14 @@ class _Coder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text as little-endian 16-bit numbers.
 
-        A space after a non-space always starts a word, so texts fall into units at their spaces.
-        Texts with runs of spaces or a last space are matched whole.
+        A space after what is no white space always starts a word, so texts fall into units at their
+        spaces. Texts with a space after any white space, or at their end, are matched whole.
         """
         find = self.pattern.findall
         if len(self.heads) + len(self.tails) > MOST_UNITS:
             self.heads.clear()
             self.tails.clear()
-        whole = {i: find(t) for i, t in enumerate(texts) if "  " in t or t.endswith(" ")}
+        whole = {i: find(t) for i, t in enumerate(texts) if "  " in t or t.endswith(" ") or _OTHER_SPACE.search(t)}
         cut = {i: t.split(" ") for i, t in enumerate(texts) if i not in whole}
         heads, tails, words = set(), set(), set()
         for parts in cut.values():

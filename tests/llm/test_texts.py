@@ -208,3 +208,12 @@ def test_packing_related_documents_meet_in_many_shards(spark):
 def test_packing_added_tokens(spark):
     texts = ["end <|endoftext|> next", "a<|startoftext|>b", "<|endoftext|>", "End <|ENDOFTEXT|> x", "é <|startoftext|>’s <|endoftext|>", "no <| endoftext |> here"]
     check_packing(packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), WORDS).collect(), dict(enumerate(texts)))
+
+
+def test_bpe_spaces_after_other_white_space(spark):
+    with open(RANKS, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    coder = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    texts = ["a \xa0 \xa0 b", "x\n \ny", "a\t b", "\xa0 \xa0 \xa0", "p\u2003 q \x85 r", "one two", "end "]
+    got = bpe.encode(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), RANKS).collect()
+    assert {r.doc_id: list(r.ids) for r in got} == {i: coder.encode_ordinary(t) for i, t in enumerate(texts)}
