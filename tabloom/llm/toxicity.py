@@ -1,8 +1,9 @@
 """Toxicity from a learned lexicon, matched with misspellings, and the windows around the matches.
 
-The lexicon's stems lie in a trie. A Levenshtein automaton of one edit runs over the trie: a state is
-the set of (node, edits) that a word's beginning can reach, and each state's moves are worked out
-once, so a word costs one lookup a letter. Logistic weights over the counts of matches (exact or
+The lexicon's stems lie in a trie. An automaton of one edit (a letter changed, dropped or added, or two
+neighbours swapped) runs over the trie: a state is the set of (node, edit, letter due) that a word's
+beginning can reach, and each state's moves are worked out once, so a word costs one lookup a letter.
+A wrong beginning counts in whole words, or with long stems. Logistic weights over the counts of matches (exact or
 misspelt, in quotation or not), their log odds and closeness give the score.
 """
 
@@ -26,6 +27,8 @@ from tabloom.plans.storage import written
 #: Labelled rows to learn from, at most; stems in the lexicon, at most.
 SAMPLE, MOST_STEMS = 20_000, 5_000
 LEAST_STEM, FUZZY_FROM, LEAST_ODDS = 4, 5, 2.5
+#: Shorter terms, from here on, count as whole words. Stems so long may go on after an edit of the first letter.
+LEAST_WORD, ROOT_FROM = 2, 7
 #: Gain in nats that a stem needs; among a million beginnings chance hardly reaches it.
 LEAST_GAIN = 15
 WINDOW = 20
@@ -37,7 +40,8 @@ _SAYS = frozenset("said says called calls quote quoted quotes wrote writes term
 class Matcher:
     """The automaton over the trie of (stem, misspellings allowed)."""
 
-    def __init__(self, stems: dict[str, bool]):
+    def __init__(self, stems: dict[str, bool], rooted: frozenset[str] | None = None):
+        """``rooted`` are the stems whose first letter may be wrong, too; all that allow misspellings if not given."""
         self.child: list[dict[str, int]] = [{}]
         self.stem: list[str | None] = [None]
         for stem in sorted(stems):
@@ -50,69 +54,85 @@ class Matcher:
                 at = self.child[at][c]
             self.stem[at] = stem
         self.fuzzy = stems
-        self.states: list[frozenset[tuple[int, int]]] = []
-        self.numbers: dict[frozenset[tuple[int, int]], int] = {}
+        self.rooted = frozenset(s for s, allowed in stems.items() if allowed) if rooted is None else rooted
+        self.states: list[frozenset[tuple[int, int, str]]] = []
+        self.numbers: dict[frozenset[tuple[int, int, str]], int] = {}
         self.moves: list[dict[str, int]] = []
         self.accepts: list[tuple[int, str] | None] = []
-        self.start = self._state({(0, 0)})
+        self.whole: list[tuple[int, str] | None] = []
+        self.start = self._state({(0, 0, "")})
 
-    def _state(self, some: set[tuple[int, int]]) -> int:
+    def _state(self, some: set[tuple[int, int, str]]) -> int:
+        """The number of a state of (node, edit, letter due); edits are 1 inside the stem and 2 at its first letter."""
         grown = set(some)
-        for node, edits in some:  # a letter of the stem that the word lacks
-            if edits == 0 and node:
-                grown.update((n, 1) for n in self.child[node].values())
+        for node, edit, due in some:  # a letter of the stem that the word lacks
+            if edit == 0 and not due:
+                grown.update((n, 1 if node else 2, "") for n in self.child[node].values())
         state = frozenset(grown)
         if state not in self.numbers:
             self.numbers[state] = len(self.states)
             self.states.append(state)
             self.moves.append({})
-            ends = [(e, self.stem[n]) for n, e in state if self.stem[n] and (e == 0 or self.fuzzy[self.stem[n]])]
-            self.accepts.append(min(ends) if ends else None)
+            ends = [(e, self.stem[n]) for n, e, due in state if self.stem[n] and not due]
+            ends = [(min(e, 1), s, e) for e, s in ends if e == 0 or (s in self.rooted if e == 2 else self.fuzzy[s])]
+            begins = [x[:2] for x in ends if len(x[1]) >= (ROOT_FROM if x[2] == 2 else LEAST_STEM)]
+            self.accepts.append(min(begins) if begins else None)
+            self.whole.append(min(x[:2] for x in ends) if ends else None)
         return self.numbers[state]
 
     def _move(self, state: int, c: str) -> int:
         reached = set()
-        for node, edits in self.states[state]:
+        for node, edit, due in self.states[state]:
+            if due:
+                if due == c:
+                    reached.add((node, edit, ""))
+                continue
+            wrong = 1 if node else 2
             for letter, n in self.child[node].items():
                 if letter == c:
-                    reached.add((n, edits))
-                elif edits == 0 and node:  # another letter; the first one must be right
-                    reached.add((n, 1))
-            if edits == 0 and node:  # a letter too many
-                reached.add((node, 1))
+                    reached.add((n, edit, ""))
+                elif edit == 0:  # another letter, or the next one before it
+                    reached.add((n, wrong, ""))
+                    if c in self.child[n]:
+                        reached.add((self.child[n][c], wrong, letter))
+            if edit == 0:  # a letter too many
+                reached.add((node, wrong, ""))
         self.moves[state][c] = number = self._state(reached) if reached else -1
         return number
 
     def match(self, word: str) -> tuple[int, str] | None:
-        """Least edits and the stem that the word starts with; None without one."""
+        """Least edits and the stem that the word starts with, or is; None without one."""
         state, best = self.start, None
         for c in word:
             state = self.moves[state][c] if c in self.moves[state] else self._move(state, c)
             if state < 0:
-                break
+                return best
             hit = self.accepts[state]
             if hit is not None and (best is None or hit < best):
                 best = hit
-        return best
+        hit = self.whole[state]
+        return hit if hit is not None and (best is None or hit < best) else best
 
 
 @dataclass
 class Model:
-    """Stems with whether misspellings count, their log odds for one match and for more, and the weights."""
+    """Stems with whether misspellings count, their log odds for one match and for more, the weights, and the
+    stems whose first letter may be wrong (None: all whose misspellings count)."""
 
     stems: dict[str, bool]
     odds: dict[str, tuple[float, float]]
     weights: np.ndarray
+    rooted: frozenset[str] | None = None
     _matcher: Matcher | None = field(default=None, repr=False, compare=False)
     _known: dict = field(default_factory=dict, repr=False, compare=False)
 
     def __getstate__(self):
-        return {"stems": self.stems, "odds": self.odds, "weights": self.weights, "_matcher": None, "_known": {}}
+        return {"stems": self.stems, "odds": self.odds, "weights": self.weights, "rooted": self.rooted, "_matcher": None, "_known": {}}
 
     def hits(self, text: str) -> tuple[int, list[tuple[int, int, str, bool]]]:
         """Number of words, and (word number, edits, stem, quoted) of each match in the whole text."""
         if self._matcher is None:
-            self._matcher = Matcher(self.stems)
+            self._matcher = Matcher(self.stems, self.rooted)
         words = _WORD.findall(text.lower())
         known = self._known
         if len(known) > 800_000:
@@ -176,6 +196,8 @@ def _count_stems(sample: DataFrame) -> DataFrame:
                 for w, c in Counter(_WORD.findall(text.lower())).items():
                     for n in range(LEAST_STEM, min(len(w), 12) + 1):
                         stems[w[:n]] += c
+                    if LEAST_WORD <= len(w) < LEAST_STEM:
+                        stems[w] += c
                 kind = "toxic" if toxic else "clean"
                 counts[kind].update(stems.keys())
                 counts[kind + "2"].update(s for s, c in stems.items() if c > 1)
@@ -271,14 +293,18 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     counted = _count_stems(rows).filter((F.col("toxic") >= least) & (likelier("toxic", "clean") | likelier("toxic2", "clean2")))
     odds = _pick_stems(counted.orderBy(F.desc("toxic"), "stem").limit(10 * MOST_STEMS).collect(), toxic, clean, least)
     model = Model({s: len(s) >= FUZZY_FROM for s in odds}, odds, np.zeros(8))
-    # A stem keeps its misspellings unless they are found in clean texts nearly as often as in toxic ones.
-    near = _sample_features(rows, model, False).select("toxic", F.explode("stems").alias("stem")).groupBy("stem").agg(
-        F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean")
-    )
-    for r in near.collect():
-        if (r["clean"] + 0.5) / (clean + 1) * 8 > (r["toxic"] + 0.5) / (toxic + 1):
-            model.stems[r["stem"]] = False
+    # A stem keeps its misspellings unless they are found in clean texts nearly as often as in toxic ones; then,
+    # in the same way, those of its first letter.
+    common = lambda model: {
+        r["stem"] for r in _sample_features(rows, model, False).select("toxic", F.explode("stems").alias("stem")).groupBy("stem").agg(
+            F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean")
+        ).collect() if (r["clean"] + 0.5) / (clean + 1) * 8 > (r["toxic"] + 0.5) / (toxic + 1)
+    }
+    model.rooted = frozenset()
+    for stem in common(model):
+        model.stems[stem] = False
     model = Model(model.stems, odds, model.weights)
+    model = Model(model.stems, odds, model.weights, frozenset(s for s, fuzzy in model.stems.items() if fuzzy) - common(model))
     data = _sample_features(rows, model, True).select("toxic", "x").collect()
     if data:
         model.weights = _logistic(np.array([r["x"] for r in data]), np.array([r["toxic"] for r in data], float))

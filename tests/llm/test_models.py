@@ -37,6 +37,20 @@ def test_toxicity_matches():
     assert [h[3] for h in hits] == [False, True]
 
 
+def test_toxicity_every_edit_at_every_place():
+    stems = ("idiot", "moron", "asshole")
+    matcher = toxicity.Matcher({s: True for s in stems} | {"loser": False, "fuk": False})
+    for word in ("1diot", "diot", "xidiot", "noron", "sshole", "idoit", "diiot"):
+        assert matcher.match(word) is not None and matcher.match(word)[0] == 1, word
+    for s in stems:
+        for i in range(len(s) + 1):
+            made = {s[:i] + "7" + s[i:]} | ({s[:i] + s[i + 1 :], s[:i] + "7" + s[i + 1 :]} if i < len(s) else set()) | ({s[:i] + s[i + 1] + s[i] + s[i + 2 :]} if i + 1 < len(s) else set())
+            for word in made - {s}:
+                assert matcher.match(word) == (min(1, 0 if word.startswith(s) else 1), s), word
+    assert matcher.match("boronic") is None and matcher.match("oser") is None and matcher.match("noronic") is None and matcher.match("xyidiot") is None
+    assert matcher.match("fuk") == (0, "fuk") and matcher.match("fuki") is None and matcher.match("fukx") is None and matcher.match("fk") is None
+
+
 def brute_base(text):
     kinds = {"assign": r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", "access": r"(AKIA[A-Z0-9]+)", "hex": r"([0-9a-f]+)"}
     found = []
