@@ -11,6 +11,7 @@ from tabloom.plans.ordering import (
     with_position,
 )
 from tabloom.plans.pairs import pair_sums, top_products
+from tabloom.plans.runs import numbered
 from tabloom.plans.storage import checkpointed, scratch_path, shared_dir, spread, written
 
 __all__ = [
@@ -20,6 +21,7 @@ __all__ = [
     "exact_percentiles",
     "largest_group",
     "nearest_neighbours",
+    "numbered",
     "pair_sums",
     "percentile_within",
     "row_number_within",
