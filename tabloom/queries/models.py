@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, NaiveBayes
+from pyspark.ml.classification import DecisionTreeClassifier, LinearSVC, LogisticRegression, NaiveBayes
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from tabloom.functions import text
 from tabloom.operators import features as feat
-from tabloom.operators import models, udfs
+from tabloom.operators import codes, models, udfs
 from tabloom.operators import windows as win
 from tabloom.queries import fixtures as fx
+from tabloom.plans import written
 from tabloom.queries.registry import query, table
 
 
@@ -134,6 +135,39 @@ def m10_multi(spark, sf):
     return models.one_vs_rest(train).transform(test).select("id", "label", "prediction")
 
 
+CODES = codes.code_matrix(10, 15)
+CODES_SQL = "codes(class, col, bit) AS (VALUES " + ", ".join(f"({c}, {j}, {b})" for c, row in enumerate(CODES) for j, b in enumerate(row)) + ")"
+
+
+@query(
+    "m10_output_codes",
+    f"""WITH {fx.VECTORS_SQL}, {CODES_SQL},
+    e AS (SELECT id, label, ('0x' || substr(md5('3|' || id), 1, 8))::BIGINT / 4294967296 < 0.8::DOUBLE AS train, unnest(range(len(vec))) AS dim, unnest(vec) AS v FROM vectors),
+    means AS (SELECT col, bit, dim, avg(v) AS m FROM e JOIN codes ON class = label WHERE train GROUP BY ALL),
+    gaps AS (SELECT id, label, col, sum((v - m) * (v - m)) FILTER (bit = 0) AS zero, sum((v - m) * (v - m)) FILTER (bit = 1) AS one
+      FROM e JOIN means USING (dim) WHERE NOT train GROUP BY id, label, col),
+    far AS (SELECT id, label, class, sum((codes.bit <> (zero > one)::INT)::INT) AS d FROM gaps JOIN codes USING (col) GROUP BY id, label, class),
+    bits AS (SELECT id, string_agg((zero > one)::INT, '' ORDER BY col) AS bits FROM gaps GROUP BY id)
+    SELECT id, label, bits, arg_min(class, d * 100 + class) AS prediction, min(d)::INTEGER AS wrong_bits FROM far JOIN bits USING (id) GROUP BY id, label, bits""",
+)
+def m10_codes(spark, sf):
+    """Fifteen columns over ten classes, each decided by the nearer of two means."""
+    train, test = split(fx.vectors(spark, sf))
+    model = codes.fit_centroids(train, codes=CODES)
+    out = model.predict(test)
+    return out.select(
+        "id", "label", F.reverse(F.lpad(F.bin(F.get("bits", F.lit(0))), 15, "0")).alias("bits"), "prediction",
+        codes.nearest_distance(F.col("bits"), CODES).alias("wrong_bits"),
+    )
+
+
+@query("m10_output_codes_svm")
+def m10_codes_svm(spark, sf):
+    train, test = split(labelled_vectors(spark, sf))
+    model = codes.fit_columns(written(train, "codes-train"), LinearSVC(maxIter=10, regParam=0.01), columns=15)
+    return model.predict(test).select("id", "label", "prediction")
+
+
 @query("m11_naive_bayes")
 def m11(spark, sf):
     docs = labelled_texts(spark, sf).withColumn("words", text.words(F.col("text")))
