@@ -12,7 +12,7 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import PCA, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.fpm import FPGrowth
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.recommendation import ALS
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tabloom.operators.aggregates import segment_users
 from tabloom.operators.topn import first_unseen
 from tabloom.plans import block_product, nearest_neighbours, pair_sums, percentile_within, top_products, with_position, written
+from tabloom.plans.sketch import singular_vectors
 
 # --- without personalisation ----------------------------------------------------------------
 
@@ -318,52 +319,29 @@ def predict_content(train: DataFrame, asked: DataFrame, item_sims: DataFrame) ->
 # --- factor models --------------------------------------------------------------------------
 
 
-def _dense_rows(long: DataFrame, key: str, at: str, value: str, size: int) -> DataFrame:
-    """(key, features): one dense vector per key from long entries."""
-
-    @F.pandas_udf("array<double>")
-    def fill(places: pd.Series, values: pd.Series) -> pd.Series:
-        out = np.zeros((len(places), size))
-        for row, (p, v) in enumerate(zip(places, values)):
-            out[row, np.asarray(p, dtype=np.int64)] = v
-        return pd.Series(list(out))
-
-    lists = long.groupBy(key).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct(at, value))), lambda e: e[at]).alias("_p"),
-        F.transform(F.array_sort(F.collect_list(F.struct(at, value))), lambda e: e[value]).alias("_v"),
+def centred_ratings(train: DataFrame, items: DataFrame) -> DataFrame:
+    """(i, k, a): user, item and the rating less the item's mean."""
+    return train.join(items.select("item_id", "mean"), "item_id").select(
+        F.col("user_id").alias("i"), F.col("item_id").alias("k"), (F.col("rating") - F.col("mean")).alias("a")
     )
-    return lists.select(key, array_to_vector(fill("_p", "_v")).alias("features"))
 
 
-def svd_factors(train: DataFrame, k: int, max_items: int = 10_000) -> tuple[DataFrame, DataFrame]:
-    """Right singular vectors of the item-mean-centred rating matrix: (item codes, (item, f, v)).
+def svd_factors(train: DataFrame, k: int, rounds: int = 2) -> tuple[DataFrame, DataFrame]:
+    """Right singular vectors of the item-mean-centred rating matrix: (items with mean, (item, f, v)).
 
-    Centred columns sum to zero, so the principal components of the rows are these vectors.
-    The Gram matrix is items x items on the driver, hence the check on the number of items.
+    Unrated pairs count as zero after centring. The vectors come from a random sketch, so neither the
+    items squared nor a dense row ever exist; any number of items will do.
     """
-    items = train.groupBy("item_id").agg(F.avg("rating").alias("mean"))
-    placed = written(with_position(items, ["item_id"], "_pos"), "item-codes")
-    total = placed.count()
-    if total > max_items:
-        raise ValueError(f"{total} items: use mf_fit for catalogues above {max_items}")
-    centred = train.join(placed, "item_id").select(
-        "user_id", (F.col("_pos") - 1).alias("at"), (F.col("rating") - F.col("mean")).alias("v")
-    )
-    rows = _dense_rows(centred, "user_id", "at", "v", total)
-    components = PCA(k=k, inputCol="features", outputCol="_p").fit(rows).pc.toArray()
-    cells = [(i + 1, f, float(components[i, f])) for i in range(total) for f in range(components.shape[1])]
-    vectors = train.sparkSession.createDataFrame(cells, "_pos long, f int, v double")
-    return placed, vectors.join(placed.select("_pos", "item_id"), "_pos").select("item_id", "f", "v")
+    items = written(train.groupBy("item_id").agg(F.avg("rating").alias("mean")), "item-means")
+    _, vectors = singular_vectors(written(centred_ratings(train, items), "centred"), k, rounds=rounds)
+    return items, vectors.select(F.col("k").alias("item_id"), F.posexplode("vec").alias("f", "v"))
 
 
 def svd_recommend(train: DataFrame, asked: DataFrame, k: int = 10) -> DataFrame:
     """Add ``score`` from the rank-k rebuild of the centred matrix; an unknown item scores 3."""
     codes, factors = svd_factors(train, k)
     factors = written(factors, "svd")
-    centred = train.join(codes.select("item_id", "mean"), "item_id").select(
-        F.col("user_id").alias("i"), F.col("item_id").alias("k"), (F.col("rating") - F.col("mean")).alias("a")
-    )
-    users = block_product(centred, factors.select(F.col("item_id").alias("k"), F.col("f").alias("j"), "v"), ["v"])
+    users = block_product(centred_ratings(train, codes), factors.select(F.col("item_id").alias("k"), F.col("f").alias("j"), "v"), ["v"])
     of_user = _as_arrays(users.withColumnsRenamed({"i": "user_id", "j": "f"}), "user_id", "_u")
     of_item = _as_arrays(factors, "item_id", "_i")
     out = asked.join(codes.select("item_id", "mean"), "item_id", "left").join(of_item, "item_id", "left").join(of_user, "user_id", "left")

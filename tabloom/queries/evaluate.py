@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tabloom.operators import cluster, linalg
 from tabloom.operators import evaluate as ev
+from tabloom.plans.sketch import singular_vectors, times
 from tabloom.queries import fixtures as fx
 from tabloom.queries.registry import query, table
 
@@ -92,6 +93,26 @@ def m25(spark, sf):
     return near.select("id", F.posexplode("vec").alias("j", "value")).withColumn("error", stats.select("error").scalar())
 
 
+@query(
+    "m25_sketched_values",
+    f"""WITH {fx.ENTRIES_SQL}, gram AS (SELECT a.dim AS i, b.dim AS j, sum(a.value * b.value) AS g FROM entries a JOIN entries b USING (id) GROUP BY 1, 2)
+    SELECT (SELECT count(DISTINCT dim) FROM entries) AS n, round(sum(g) FILTER (i = j), 6) AS squares, round(sum(g * g), 6) AS fourths, 0.0::DOUBLE AS residual FROM gram""",
+)
+def m25_sketch(spark, sf):
+    """All singular values from a narrow sketch: their power sums, and how far A'A v is from its multiple of v."""
+    entries = fx.entries(spark, sf).select(F.col("id").alias("i"), F.col("dim").alias("k"), F.col("value").alias("a"))
+    values, vectors = singular_vectors(entries, 64, oversample=-40)
+    turned = entries.select(F.col("k").alias("i"), F.col("i").alias("k"), "a")
+    twice = times(turned, times(entries, vectors)).withColumnRenamed("vec", "twice")
+    scale = F.array(*(F.lit(float(v * v)) for v in values))
+    gap = F.array_max(F.zip_with("twice", F.zip_with("vec", scale, lambda x, e: x * e), lambda a, b: F.abs(a - b)))
+    worst = vectors.join(twice, "k").agg(F.max(gap).alias("residual"))
+    return worst.select(
+        F.lit(len(values)).cast("long").alias("n"), F.lit(round(float((values**2).sum()), 6)).alias("squares"),
+        F.lit(round(float((values**4).sum()), 6)).alias("fourths"), (F.round("residual", 6) + 0.0).alias("residual"),
+    )
+
+
 COV_SQL = f"""WITH {fx.POINTS_SQL}, s AS (SELECT var_samp(x) AS a, covar_samp(x, y) AS b, var_samp(y) AS c FROM points),
     e AS (SELECT (a + c) / 2 + sqrt((a - c) * (a - c) / 4 + b * b) AS big, (a + c) / 2 - sqrt((a - c) * (a - c) / 4 + b * b) AS small FROM s)"""
 
