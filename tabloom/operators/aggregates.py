@@ -279,7 +279,7 @@ def acf(series: DataFrame, max_lag: int, key: str = "series", order: Sequence[st
     equi-join on (series, place), so a long series is spread over all tasks.
     """
     placed = row_number_within(series.select(key, *order, value), [key], list(order), "_at")
-    means = series.groupBy(key).agg(F.avg(value).alias("_mean"))
+    means = placed.groupBy(key).agg(F.avg(value).alias("_mean"))
     centred = placed.join(means, key).select(key, "_at", (F.col(value) - F.col("_mean")).alias("_x"))
     ahead = centred.select(key, F.col("_x").alias("_y"), F.explode(F.sequence(F.lit(0), F.lit(max_lag))).alias("lag"), F.col("_at"))
     pairs = ahead.withColumn("_at", F.col("_at") + F.col("lag")).join(centred, [key, "_at"])

@@ -6,9 +6,10 @@ of their own. Batches travel as Arrow.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark import StorageLevel
+import pandas as pd
+from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +30,56 @@ def combine_by_key(df: DataFrame, key: str, value: str) -> DataFrame:
     return df.select(key, value).distinct()
 
 
+def aggregate_by_key(
+    df: DataFrame, key: str, value: str, create: Callable, merge_value: Callable, merge: Callable, kind: str,
+    finish: Callable | None = None, keys_at_once: int = 100_000, fan: int = 32,
+) -> DataFrame:
+    """(key, value): a user's aggregate made of three functions, with partial results on the map side.
+
+    ``create(value)`` starts a combiner, ``merge_value(combiner, value)`` takes in one more value, and
+    ``merge(a, b)`` joins two combiners; ``finish`` turns a combiner into the result of type ``kind``. Every
+    task keeps at most ``keys_at_once`` combiners and hands on those it has when more come. The combiners of
+    a key, one or a few from each task, are joined ``fan`` at a time over two levels, so a hot key is joined by
+    many tasks. The functions see nulls like any value; a null key is a key. Values are joined in no set order.
+    """
+    kind_of_key = df.schema[key].dataType.simpleString()
+
+    def partial(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict = {}
+        for part in parts:
+            for k, v in part.itertuples(index=False):
+                k = None if pd.isna(k) else k
+                v = None if pd.api.types.is_scalar(v) and pd.isna(v) else v
+                held[k] = merge_value(held[k], v) if k in held else create(v)
+                if len(held) >= keys_at_once:
+                    yield handed_on(held)
+                    held = {}
+        if held:
+            yield handed_on(held)
+
+    def handed_on(held: dict) -> pd.DataFrame:
+        return pd.DataFrame({"k": pd.Series(list(held), dtype=object), "c": [cloudpickle.dumps(c) for c in held.values()]})
+
+    def joined(some: pd.Series):
+        first, *rest = some
+        total = cloudpickle.loads(first)
+        for c in rest:
+            total = merge(total, cloudpickle.loads(c))
+        return total
+
+    def level(k: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"k": pd.Series([k[0]], dtype=object), "c": [cloudpickle.dumps(joined(frame["c"]))]})
+
+    def last(k: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        total = joined(frame["c"])
+        return pd.DataFrame({key: pd.Series([k[0]], dtype=object), value: pd.Series([finish(total) if finish else total], dtype=object)})
+
+    partials = f"k {kind_of_key}, c binary"
+    rows = df.select(key, value).mapInPandas(partial, partials)
+    rows = rows.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(fan))).groupBy("k", "_salt").applyInPandas(level, partials)
+    return rows.groupBy("k").applyInPandas(last, f"`{key}` {kind_of_key}, `{value}` {kind}")
+
+
 def cache(df: DataFrame) -> DataFrame:
     """Keep in memory, spilling to disk."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)

@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabloom.plans import largest_group, row_number_within, with_position
-from tabloom.plans import ordering
+from tabloom.plans import row_number_within, with_position
 
 
 def best_per_id(posts: DataFrame, group: str, key: str, value: str) -> DataFrame:
@@ -43,27 +42,23 @@ def last_n(
     ts: str = "ts",
     hot_rows: int | None = None,
     run_rows: int = 262_144,
+    more: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``last_1 .. last_n``: the items of the same user just before each event, else 0.
 
-    A window per user serves normal data. When one user is hot, the rows are sorted over all
-    tasks and cut into runs; each run borrows the n rows before it, so that no task ever holds
-    a whole hot user.
+    Each column of ``more`` gives ``<column>_1 .. <column>_n`` in line with them, null where there is no event.
+    The rows are sorted over all tasks and cut into runs; each run borrows the n rows before it, so that
+    no task ever holds a whole hot user. ``hot_rows`` is accepted from earlier callers and chooses nothing.
     """
-    hot_rows = ordering.HOT_GROUP_ROWS if hot_rows is None else hot_rows
-    order = [F.col(ts), F.col(item)]
-    if hot_rows and largest_group(ratings, [user]) <= hot_rows:
-        window = Window.partitionBy(user).orderBy(*order)
-        lagged = [F.coalesce(F.lag(item, i).over(window), F.lit(0)).alias(f"last_{i}") for i in range(1, n + 1)]
-        return ratings.select("*", *lagged)
     run_rows = max(run_rows, n)
-    placed = with_position(ratings, [F.col(user), *order], "_pos")
+    placed = with_position(ratings, [F.col(user), F.col(ts), F.col(item)], "_pos")
     run = F.floor((F.col("_pos") - 1) / run_rows)
     ends_run = (F.col("_pos") - 1) % run_rows >= run_rows - n
     own = placed.withColumn("_run", run).withColumn("_own", F.lit(True))
     lent = placed.filter(ends_run).withColumn("_run", run + 1).withColumn("_own", F.lit(False))
     window = Window.partitionBy("_run", user).orderBy("_pos")
     lagged = [F.coalesce(F.lag(item, i).over(window), F.lit(0)).alias(f"last_{i}") for i in range(1, n + 1)]
+    lagged += [F.lag(c, i).over(window).alias(f"{c}_{i}") for c in more for i in range(1, n + 1)]
     both = own.unionByName(lent).select("*", *lagged)
     return both.filter("_own").drop("_own", "_run", "_pos")
 
@@ -160,7 +155,7 @@ def split_per_user(
     """Add ``for_testing``: a random share of each user's rows, rounded up (or down) to whole rows."""
     keyed = ratings.withColumn("_h", md5_order([user, item], seed))
     ranked = row_number_within(keyed, [user], ["_h", item], "_rn", hot_rows)
-    sizes = ratings.groupBy(user).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = ranked.groupBy(user).agg(F.max("_rn").alias("_n"))  # from the stored ranks, not the input again
     wanted = F.ceil(F.col("_n") * test_share) if round_up else F.floor(F.col("_n") * test_share)
     return (
         ranked.join(sizes, user).withColumn("for_testing", F.col("_rn") <= wanted).drop("_h", "_rn", "_n")

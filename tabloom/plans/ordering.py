@@ -12,11 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabloom.plans.runs import numbered
 from tabloom.plans.storage import written
 
-# Above this many rows in one key, per-key windows take the range-sorted path.
-HOT_GROUP_ROWS = 2_000_000
-
 
 def _column(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -82,17 +80,11 @@ def row_number_within(
     name: str = "rn",
     hot_rows: int | None = None,
 ) -> DataFrame:
-    """``row_number`` per key. Keys above ``hot_rows`` rows are split over many tasks.
+    """``row_number`` per key by one range sort, in one way for all sizes of keys (see ``numbered``).
 
-    ``hot_rows=0`` takes the split path at once and spares the pass that looks for hot keys.
+    ``hot_rows`` is accepted from earlier callers and chooses nothing.
     """
-    hot_rows = HOT_GROUP_ROWS if hot_rows is None else hot_rows
-    if hot_rows and largest_group(df, keys) <= hot_rows:
-        window = Window.partitionBy(*keys).orderBy(*[_column(c) for c in order])
-        return df.withColumn(name, F.row_number().over(window).cast("long"))
-    placed = with_position(df, [*keys, *order], "_pos")
-    starts = placed.groupBy(*keys).agg(F.min("_pos").alias("_start"))
-    return _by_keys(placed, starts, keys).select(*df.columns, (F.col("_pos") - F.col("_start") + 1).alias(name))
+    return numbered(df, keys, order, name)
 
 
 def exact_percentiles(df: DataFrame, column: str, fractions: Sequence[float]) -> list[float]:
@@ -121,20 +113,16 @@ def exact_percentiles(df: DataFrame, column: str, fractions: Sequence[float]) ->
 def percentile_within(
     df: DataFrame, keys: Sequence[str], column: str, fraction: float, name: str = "percentile", hot_rows: int | None = None
 ) -> DataFrame:
-    """Exact percentile per key, linear between neighbouring ranks.
+    """Exact percentile per key, linear between neighbouring ranks, in one way for all sizes of keys.
 
-    Values are counted per key first. While no key has more than ``hot_rows`` distinct values the
-    built-in aggregate does the rest; else a distributed sort ranks the values and only sums,
-    minima and maxima are taken per key.
+    Values are counted per key first, a distributed sort sums the counts along each key, and only sums,
+    minima and maxima are taken per key. ``hot_rows`` is accepted from earlier callers and chooses nothing.
     """
-    hot_rows = HOT_GROUP_ROWS if hot_rows is None else hot_rows
     counts = df.filter(F.col(column).isNotNull()).groupBy(*keys, F.col(column).cast("double").alias("_v")).agg(
         F.count(F.lit(1)).alias("_n")
     )
-    if hot_rows and largest_group(counts, keys) <= hot_rows:
-        return counts.groupBy(*keys).agg(F.percentile("_v", F.lit(fraction), F.col("_n")).alias(name))
-    placed = with_position(counts, [*keys, "_v"], "_pos", {"_upto": F.col("_n")})
-    bounds = placed.groupBy(*keys).agg(F.min(F.col("_upto") - F.col("_n")).alias("_start"), F.max("_upto").alias("_end"))
+    placed = numbered(counts, keys, ["_v"], "_pos", {"_upto": F.col("_n")})
+    bounds = placed.groupBy(*keys).agg(F.lit(0).cast("long").alias("_start"), F.max("_upto").alias("_end"))
     ranked = _by_keys(placed, bounds, keys).withColumn("_h", (F.col("_end") - F.col("_start") - 1) * F.lit(fraction))
     upto = F.col("_upto") - F.col("_start")
 

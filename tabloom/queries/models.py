@@ -278,6 +278,23 @@ def d04(spark, sf):
     return udfs.combine_by_key(days, "day", "user_id")
 
 
+@query(
+    "d04_user_combiners",
+    """SELECT l_suppkey AS supplier, count(*) AS n, sum(l_quantity)::BIGINT AS quantity, round(avg(l_quantity), 6) AS mean,
+      string_agg(l_quantity::INTEGER, ',' ORDER BY l_quantity) AS list FROM lineitem GROUP BY 1""",
+)
+def d04_combiners(spark, sf):
+    """Sum with count, and the list with repeats, by functions of the user's own."""
+    lines = table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("supplier"), F.col("l_quantity").cast("int").alias("quantity"))
+    sums = udfs.aggregate_by_key(
+        lines, "supplier", "quantity", lambda v: (v, 1), lambda c, v: (c[0] + v, c[1] + 1), lambda a, b: (a[0] + b[0], a[1] + b[1]),
+        "struct<quantity:bigint,n:bigint>", lambda c: {"quantity": c[0], "n": c[1]},
+    )
+    lists = udfs.aggregate_by_key(lines, "supplier", "quantity", lambda v: [v], lambda c, v: [*c, v], lambda a, b: a + b, "array<int>", sorted)
+    sums = sums.select("supplier", "quantity.n", "quantity.quantity", F.round(F.col("quantity.quantity") / F.col("quantity.n"), 6).alias("mean"))
+    return sums.join(lists.select("supplier", F.array_join("quantity", ",").alias("list")), "supplier")
+
+
 @query("l01_cache", "SELECT true AS cached_before, false AS cached_after, count(*) AS n FROM events")
 def l01(spark, sf):
     kept = udfs.cache(table(spark, sf, "events"))

@@ -55,6 +55,21 @@ def w04(spark, sf):
     return win.last_n(fx.ratings(spark, sf), 3).select("user_id", "item_id", "last_1", "last_2", "last_3")
 
 
+@query(
+    "w04_last_items_in_line",
+    f"""WITH {fx.RATINGS_SQL} SELECT user_id, item_id, coalesce(lag(item_id, 1) OVER w, 0) AS last_1, coalesce(lag(item_id, 2) OVER w, 0) AS last_2,
+      coalesce(lag(p_name, 1) OVER w, '') AS title_1, coalesce(lag(p_name, 2) OVER w, '') AS title_2,
+      coalesce(lag(year(ts), 1) OVER w, 0) AS year_1, coalesce(lag(year(ts), 2) OVER w, 0) AS year_2
+    FROM ratings JOIN part ON p_partkey = item_id + 1 WINDOW w AS (PARTITION BY user_id ORDER BY ts, item_id)""",
+)
+def w04_in_line(spark, sf):
+    """The last items with their names and the years of their ratings beside them."""
+    titles = table(spark, sf, "part").select((F.col("p_partkey") - 1).alias("item_id"), F.col("p_name").alias("title"))
+    rated = fx.ratings(spark, sf).join(titles, "item_id").withColumn("year", F.year("ts").cast("long"))
+    out = win.last_n(rated, 2, more=["title", "year"]).na.fill("", ["title_1", "title_2"]).na.fill(0, ["year_1", "year_2"])
+    return out.select("user_id", "item_id", "last_1", "last_2", "title_1", "title_2", "year_1", "year_2")
+
+
 @query(
     "w05_days_since_start",
     """SELECT event_id, round((epoch(date_trunc('second', ts)) - (SELECT min(epoch(date_trunc('second', ts))) FROM events)) / 86400) AS ts_day
