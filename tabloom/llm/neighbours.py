@@ -83,7 +83,7 @@ def search(
     """For each query row its ``k`` nearest other rows by inner product: query_id, rank, vec_id, score.
 
     Ties go to the smaller id. Vectors that are null, zero, hold null or non-finite components, or
-    whose length differs from that of the pivots take no part. ``least`` candidates come by the index,
+    are not of the commonest length (the greater of equally common ones) take no part. ``least`` candidates come by the index,
     ``LEAST`` for each one wanted if not given; the result is exact at every size. Rows that repeat an id with an equal
     vector count once. Other columns are not read; an empty table gives no rows.
     """
@@ -91,19 +91,19 @@ def search(
     least = LEAST * (k + 1) if least is None else least
     rows = table.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), is_query.alias("asks"))
     rows = rows.filter(F.col("id").isNotNull() & usable(F.col("v")))
+    common = rows.groupBy(F.size("v").alias("size")).count().orderBy(F.desc("count"), F.desc("size")).first()
+    if common is None:
+        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    size = common["size"]
+    rows = rows.filter(F.size("v") == size)
     # Of equal vectors the k + 1 smallest ids can be among the nearest; the plan limits groups before it shuffles.
     first = Window.partitionBy("v").orderBy("id")
     some = rows.select("id", "v").distinct().withColumn("n", F.row_number().over(first)).filter(F.col("n") <= k + 1)
     classes = some.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")).withColumn("rep", F.col("ids")[0])
     classes = written(classes, "vectors")
     picked = classes.orderBy(F.xxhash64("v"), "rep").limit(pivots).select("v").collect()
-    out = "query_id bigint, rank int, vec_id bigint, score double"
-    if not picked:
-        return spark.createDataFrame([], out)
-    size = len(picked[0]["v"])
-    fixed = np.array([p["v"] for p in picked if len(p["v"]) == size], np.float64)
+    fixed = np.array([p["v"] for p in picked], np.float64)
     near = min(nearest, len(fixed))
-    classes = classes.filter(F.size("v") == size)
     asked = rows.filter("asks").select("id", "v").distinct().join(classes.select("v", "rep"), "v").select("id", "rep")
     asked = written(asked, "queries")
     askers = written(asked.select("rep").distinct().join(classes.select("rep", "v"), "rep"), "asked-vectors")
