@@ -57,6 +57,7 @@ class Block:
     def search(self, query: np.ndarray, order: np.ndarray, most: int, part: float, least: int) -> tuple[np.ndarray, np.ndarray]:
         """Rows and scores of the candidates by the index, and of all others that could be among the ``most`` best."""
         n, m = len(self.vectors), self.nearest
+        products = self.vectors @ query  # cheaper than to copy the chosen rows together
         take = max(least, most, int(np.ceil(part * n)))
         if take >= n:
             rows = np.arange(n)
@@ -67,13 +68,13 @@ class Block:
                 a, b = self.start[pivot], self.start[pivot + 1]
                 saved[self.rows[a:b]] += 2 * m - at - self.place[a:b] - np.abs(self.place[a:b] - at)
             rows = np.argpartition(-saved, take - 1)[:take]
-            scores = self.vectors[rows] @ query
+            scores = products[rows]
             last = np.partition(scores, take - most)[take - most]
             inner, rest, norm = self._projected(query)
             bound = self.inner @ inner + self.rest * rest + 1e-9 * self.norm * norm  # and the rounding
             bound[rows] = -np.inf
             rows = np.concatenate([rows, np.flatnonzero(~(bound < last))])
-        return rows, self.vectors[rows] @ query
+        return rows, products[rows]
 
 
 def search(
