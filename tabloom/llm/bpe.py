@@ -100,6 +100,7 @@ class _Coder:
         self.byte = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
         self.spaced = np.zeros(65536, bool)
         self.spaced[[rank for token, rank in ranks.items() if token[:1] == b" "]] = True
+        self.letters_match = pattern == _pattern()
         self.words: dict[str, bytes] = {}
         self.heads: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
@@ -158,13 +159,20 @@ class _Coder:
         for parts in cut.values():
             heads.add(parts[0])
             tails.update(parts[1:])
-        heads, tails = ({k: find(lead + k) for k in new.difference(known)} for lead, new, known in (("", heads, self.heads), (" ", tails, self.tails)))
-        for found in (*heads.values(), *tails.values(), *whole.values()):
+        sides = [("", heads.difference(self.heads), self.heads), (" ", tails.difference(self.tails), self.tails)]
+        # Letters alone are one match, with the space before them.
+        letters = [[k for k in new if k.isalpha()] if self.letters_match else [] for _, new, _ in sides]
+        mixed = [{k: find(lead + k) for k in new.difference(alone)} for (lead, new, _), alone in zip(sides, letters, strict=True)]
+        for (lead, _, _), alone in zip(sides, letters, strict=True):
+            words.update([lead + k for k in alone])
+        for found in (*mixed[0].values(), *mixed[1].values(), *whole.values()):
             words.update(found)
         self._learn(words)
         get = self.words.__getitem__
-        for new, known in ((heads, self.heads), (tails, self.tails)):
-            for k, found in new.items():
+        for (lead, _, known), alone, some in zip(sides, letters, mixed, strict=True):
+            for k in alone:
+                known[k] = get(lead + k)
+            for k, found in some.items():
                 known[k] = b"".join(map(get, found))
         tail = self.tails.__getitem__
         return [
@@ -179,7 +187,9 @@ class _Coder:
         if len(self.runs) > MOST_UNITS:
             self.runs.clear()
         ends = np.cumsum(sizes)
-        starts = np.union1d(np.flatnonzero(self.spaced[flat]), (ends - sizes)[np.asarray(sizes) > 0])
+        opens = self.spaced[flat]
+        opens[(ends - sizes)[np.asarray(sizes) > 0]] = True
+        starts = np.flatnonzero(opens)
         cut = [*(starts * 2).tolist(), 2 * len(flat)]
         raw = flat.astype("<u2").tobytes()
         runs = [raw[a:b] for a, b in zip(cut, cut[1:], strict=False)]
