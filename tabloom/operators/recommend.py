@@ -14,7 +14,6 @@ import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.fpm import FPGrowth
-from pyspark.ml.functions import array_to_vector
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import FMRegressor
 from pyspark.sql import Column, DataFrame, Window
