@@ -12,19 +12,22 @@ from tabloom.plans.ordering import (
 )
 from tabloom.plans.pairs import pair_sums, top_products
 from tabloom.plans.runs import numbered
-from tabloom.plans.storage import checkpointed, scratch_path, shared_dir, spread, written
+from tabloom.plans.storage import checkpointed, dropped, release, scratch, scratch_path, shared_dir, spread, written
 
 __all__ = [
     "KeyedLinks",
     "block_product",
     "checkpointed",
+    "dropped",
     "exact_percentiles",
     "largest_group",
     "nearest_neighbours",
     "numbered",
     "pair_sums",
     "percentile_within",
+    "release",
     "row_number_within",
+    "scratch",
     "scratch_path",
     "shared_dir",
     "spread",
