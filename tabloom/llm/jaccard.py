@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabloom.llm.common import batch, lists, slices, text_of
-from tabloom.plans.storage import checkpointed, written
+from tabloom.plans.storage import checkpointed, dropped, written
 
 WORDS, THRESHOLD = 5, (75, 100)
 #: Documents in a trie, and slots by which the pivots of a hot n-gram are found in two steps.
@@ -384,23 +384,28 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words
 
     # A set that a similar one exists for lacks at most n - ceil(t n) of its n-grams there; those of low hash that no
     # other document has are among the lacking ones. Sets with more of them go, with most chance meetings.
+    # Equal sets are shown once, by the smallest id.
     here = Window.partitionBy("gram", "slot")
-    met = _shown(rows, words, threshold, frequent).withColumn("n", F.count(F.lit(1)).over(here)).filter("n > 1 OR slot >= 0")
+    met = _shown(rows.join(reps.select(F.col("rep").alias("id")), "id", "left_semi"), words, threshold, frequent).withColumn("n", F.count(F.lit(1)).over(here)).filter("n > 1 OR slot >= 0")
     met = written(met.select("gram", "slot", "id"), "shared-grams")
     shared = met.filter(f"slot < 0 AND gram < {LOW}").groupBy("id").agg(F.count(F.lit(1)).alias("shared"))
     top, bottom = threshold
     may = reps.join(shared, F.col("rep") == F.col("id"), "left").filter(F.expr(f"low - coalesce(shared, 0) <= n - (n * {top} + {bottom - 1}) DIV {bottom}"))
     may = written(may.select(F.col("rep").alias("id"), F.col("n").alias("size")), "open-sets")
-    met = written(met.join(may, "id", "left_semi").withColumn("pivot", F.min("id").over(here)).withColumn("n", F.count(F.lit(1)).over(here)).filter("n > 1 OR slot >= 0"), "shared-grams")
+    open_met = met.join(may, "id", "left_semi").withColumn("pivot", F.min("id").over(here)).withColumn("n", F.count(F.lit(1)).over(here)).filter("n > 1 OR slot >= 0")
+    open_met = written(open_met.drop("n"), "open-shared-grams")
+    dropped(met)
+    met = open_met
 
     # Every document with the smallest id under each n-gram; slots of one n-gram meet at its smallest.
     of_slots = met.filter("slot >= 0").groupBy("gram", "slot").agg(F.min("pivot").alias("id"))
     of_gram = of_slots.groupBy("gram").agg(F.min("id").alias("pivot"))
     pairs = met.select("pivot", "id").unionByName(of_slots.join(of_gram, "gram").select("pivot", "id")).filter("pivot <> id").distinct()
     per_pivot = F.ceil(F.count(F.lit(1)) / (block - 1)).cast("int").alias("parts")
-    pairs = written(pairs, "pairs")
-    sizes = pairs.groupBy("pivot").agg(per_pivot)
-    pairs = written(pairs.join(sizes, "pivot").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts"))), "pairs")
+    whole_pairs = written(pairs, "pairs")
+    sizes = whole_pairs.groupBy("pivot").agg(per_pivot)
+    pairs = written(whole_pairs.join(sizes, "pivot").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts"))), "parted-pairs")
+    dropped(whole_pairs)
     active = pairs.select("id").unionByName(pairs.select(F.col("pivot").alias("id"))).distinct()
     whole = written(_sets(rows.join(active, "id", "left_semi"), words, threshold, None).select("id", "grams"), "active-sets")
     blocks = pairs.select("pivot", "part", "id").unionByName(pairs.select("pivot", "part", F.col("pivot").alias("id")).distinct())
@@ -412,6 +417,7 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words
     open_ = met.filter("slot >= 0").select("gram", "id").unionByName(met.filter("slot < 0").join(split, "pivot", "left_semi").select("gram", "id"))
     open_ = open_.join(comps, "id", "left").select("gram", "id", F.coalesce("comp", "id").alias("comp"))
     open_ = written(open_, "open-grams")
+    dropped(met, pairs)
     # An n-gram's largest component is compared with the other documents there; n-grams with the same others are one group.
     parts = open_.groupBy("gram", "comp").agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("sign"))
     size = F.struct("n", "comp")
@@ -420,6 +426,7 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words
     ).filter("n_out > 0")
     group = ["main", "n_out", "sign"]
     members = written(open_.join(parts, "gram").select(*group, "id", "comp").distinct().join(may, "id"), "open-groups")
+    dropped(open_, may)
     is_main, half = F.col("comp") == F.col("main"), block // 2
     n_blocks = lambda side: F.least(F.ceil(F.count_if(side) / half), F.ceil(F.sum(F.when(side, F.col("size"))) / GRAMS)).cast("int")
     left = members.join(members.groupBy(*group).agg(n_blocks(is_main).alias("k_main"), n_blocks(~is_main).alias("k_out")), group)
@@ -431,8 +438,11 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words
     ))
     left = left.withColumn("at", at).select(*group, "id", "comp", F.explode(cells).alias("c")).select(*group, "c.kind", "c.i", "c.j", "id", "comp")
     more = written(_join_blocks(left, whole, [*group, "kind", "i", "j"], threshold), "links")
+    dropped(members, whole)
     if not more.isEmpty():
+        dropped(comps)
         comps = written(components(links.unionByName(more)), "components")
+    dropped(links, more)
 
     of_class = reps.join(comps, F.col("rep") == F.col("id"), "left").select("digest", F.coalesce("comp", "rep").alias("comp"))
     return sets.alias("s").join(of_class.alias("c"), (F.col("s.digest") == F.col("c.digest")) & (F.col("s.n") > 0) & F.col("s.id").isNotNull(), "left").select(
