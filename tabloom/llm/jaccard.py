@@ -186,18 +186,26 @@ def _shown(rows: DataFrame, words: int, threshold: tuple[int, int], frequent: np
     by_gram = frequent[ranks]
 
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import hashlib
+
+        smallest: dict[bytes, int] = {}
         for part in parts:
             texts, ids = part.column(1).to_pylist(), part.column(0).to_numpy(zero_copy_only=False)
             for a, b in slices(texts, SLICE):
-                cold, hot = [], []
-                for s in shingles(texts[a:b], words):
+                cold, hot, of = [], [], []
+                for s, doc in zip(shingles(texts[a:b], words), ids[a:b].tolist(), strict=True):
+                    digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
+                    if smallest.get(digest, doc) < doc or not len(s):
+                        continue
+                    smallest[digest] = doc
+                    of.append(doc)
                     is_hot = _hot(s, by_gram)
                     rare, often = s[~is_hot], s[is_hot]
                     prefix = prefix_length(len(s), threshold)
                     cold.append(rare[: max(min(prefix, len(rare)), int(np.searchsorted(rare, LOW)))])
                     order = np.argsort(ranks[np.searchsorted(by_gram, often)], kind="stable") if len(often) else slice(0)
                     hot.append(often[order][: max(0, prefix - len(rare))])
-                doc = ids[a:b].astype(np.int64)
+                doc = np.array(of, np.int64)
                 of_cold, of_hot = np.repeat(doc, [len(s) for s in cold]), np.repeat(doc, [len(s) for s in hot])
                 slots = np.concatenate([np.full(len(of_cold), -1), (_mix(of_hot.astype(np.uint64)) % np.uint64(SLOTS)).astype(np.int64)])
                 yield batch(schema, np.concatenate([np.zeros(0, np.int64), *cold, *hot]), slots.astype(np.int32), np.concatenate([of_cold, of_hot]))
@@ -384,9 +392,8 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words
 
     # A set that a similar one exists for lacks at most n - ceil(t n) of its n-grams there; those of low hash that no
     # other document has are among the lacking ones. Sets with more of them go, with most chance meetings.
-    # Equal sets are shown once, by the smallest id.
     here = Window.partitionBy("gram", "slot")
-    met = _shown(rows.join(reps.select(F.col("rep").alias("id")), "id", "left_semi"), words, threshold, frequent).withColumn("n", F.count(F.lit(1)).over(here)).filter("n > 1 OR slot >= 0")
+    met = _shown(rows, words, threshold, frequent).withColumn("n", F.count(F.lit(1)).over(here)).filter("n > 1 OR slot >= 0")
     met = written(met.select("gram", "slot", "id"), "shared-grams")
     shared = met.filter(f"slot < 0 AND gram < {LOW}").groupBy("id").agg(F.count(F.lit(1)).alias("shared"))
     top, bottom = threshold
