@@ -13,7 +13,7 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.plans import KeyedLinks, checkpointed, nearest_neighbours, written
+from tabloom.plans import KeyedLinks, checkpointed, laplacian_vectors, nearest_neighbours, written
 
 Centres = Sequence[Sequence[float]]
 
@@ -369,3 +369,22 @@ def spectral(affinities: DataFrame, k: int, iterations: int = 20, weight: str |
     """(id, cluster): power iteration clustering on (src, dst, weight)."""
     model = PowerIterationClustering(k=k, maxIter=iterations, initMode="degree", srcCol="src", dstCol="dst", weightCol=weight)
     return model.assignClusters(affinities)
+
+
+def spectral_embedding(links: DataFrame, k: int, tol: float = 1e-8) -> DataFrame:
+    """(id, x0, x1, ...): each node's entries in the k smallest eigenvectors of the normalised Laplacian.
+
+    ``links`` are (src, dst, weight), taken both ways. The rows have length 1, so the clusters lie on a sphere.
+    """
+    values, _, vectors = laplacian_vectors(links, k, tol=tol)
+    length = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda total, x: total + x * x))
+    unit = lambda i: F.when(length > 0, F.col("vec")[i] / length).otherwise(0.0)
+    return vectors.select("id", *[unit(i).alias(f"x{i}") for i in range(len(values))])
+
+
+def spectral_clusters(links: DataFrame, k: int, seed: int = 1) -> DataFrame:
+    """(id, cluster): k-means on the Laplacian's k smallest eigenvectors. Nodes without a link are in no cluster."""
+    points = spectral_embedding(links, k)
+    if len(points.columns) == 1:
+        return points.select("id", F.lit(0).alias("cluster"))
+    return kmeans(points, points.columns[1:], k, seed=seed)[0].select("id", "cluster")

@@ -1,5 +1,6 @@
 """Distributed building blocks that several operators share."""
 
+from tabloom.plans.laplacian import laplacian_vectors
 from tabloom.plans.links import KeyedLinks
 from tabloom.plans.matmul import block_product
 from tabloom.plans.neighbours import nearest_neighbours
@@ -20,6 +21,7 @@ __all__ = [
     "checkpointed",
     "dropped",
     "exact_percentiles",
+    "laplacian_vectors",
     "largest_group",
     "nearest_neighbours",
     "numbered",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tabloom.operators import cluster, linalg
 from tabloom.operators import evaluate as ev
+from tabloom.plans.laplacian import half_walk, laplacian_vectors
 from tabloom.plans.sketch import singular_vectors, times
 from tabloom.queries import fixtures as fx
 from tabloom.queries.registry import query, table
@@ -343,6 +344,49 @@ def m35(spark, sf):
     return cluster.spectral(pairs.groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("w")), 3, 10, "w")
 
 
+def _walks(spark, sf):
+    """Users of events that follow each other, with the number of directions as weight."""
+    return fx.edges(spark, sf).select("src", "dst", F.lit(1.0).alias("weight"))
+
+
+@query(
+    "m35_laplacian_first",
+    f"""WITH {fx.EDGES_SQL}, ends AS (SELECT src AS id FROM edges UNION ALL SELECT dst FROM edges), d AS (SELECT id, count(*) AS n FROM ends GROUP BY 1)
+    SELECT id, round(sqrt(n / (SELECT sum(n) FROM d)), 6) AS weight FROM d""",
+)
+def m35_first(spark, sf):
+    """The first vector of a connected graph is the root of each node's share of all link ends."""
+    _, _, vectors = laplacian_vectors(_walks(spark, sf), 1)
+    return vectors.select("id", F.round(F.abs(F.col("vec")[0]), 6).alias("weight"))
+
+
+@query(
+    "m35_laplacian_residuals",
+    """SELECT i AS component, i = 1 AS is_zero, true AS ascends, true AS settled, true AS unit
+    FROM (SELECT unnest([1, 2, 3, 4]) AS i)""",
+)
+def m35_residuals(spark, sf):
+    """``L v - e v`` and the length of each of four vectors, measured over the links, apart from the solver."""
+    values, _, vectors = laplacian_vectors(_walks(spark, sf), 4)
+    entries = vectors.select("id", F.posexplode("vec").alias("c", "x"))
+    walk = half_walk(_walks(spark, sf))
+    moved = walk.join(entries.select(F.col("id").alias("k"), "c", "x"), "k").groupBy(F.col("i").alias("id"), "c").agg(F.sum(F.col("a") * F.col("x")).alias("y"))
+    known = spark.createDataFrame([(c, float(e), c == 0 or bool(e >= values[c - 1])) for c, e in enumerate(values)], "c int, e double, ascends boolean")
+    both = entries.join(moved, ["id", "c"]).join(F.broadcast(known), "c").groupBy("c", "e", "ascends")
+    # L v = 2 v - 2 A v for the matrix A that the solver multiplies by.
+    rest = 2 * F.col("x") - 2 * F.col("y") - F.col("e") * F.col("x")
+    sums = both.agg(F.sqrt(F.sum(rest * rest)).alias("rest"), F.sum(F.col("x") * F.col("x")).alias("square"))
+    return sums.select(
+        (F.col("c") + 1).alias("component"), (F.abs("e") < 1e-9).alias("is_zero"), "ascends",
+        (F.col("rest") < 1e-6).alias("settled"), (F.abs(F.col("square") - 1) < 1e-9).alias("unit"),
+    )
+
+
+@query("m35_spectral_clusters")
+def m35_clusters(spark, sf):
+    return cluster.spectral_clusters(_walks(spark, sf), 3)
+
+
 @query(
     "m36_gaussian_score",
     f"""WITH {fx.POINTS_SQL}, s AS (SELECT avg(x) AS mx, avg(y) AS my, covar_pop(x, x) AS a, covar_pop(x, y) AS b, covar_pop(y, y) AS c FROM points)
