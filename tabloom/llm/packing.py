@@ -34,9 +34,30 @@ K1, B = 1.2, 0.75
 MOST_KNOWN = 700_000
 
 _ODD = re.compile(r"[\x1c-\x1f]")
-#: Marks beyond ASCII, letters that may compose, apostrophes of contractions, and those separators.
-_SPECIAL = re.compile(r"[^\x00-\x7fÀ-ɏ]|[×÷'\x1c-\x1f]")
-_MARKS = re.compile(r"([!-&(-/:-@\[-`{-~]+)")
+#: Marks beyond ASCII, letters that may compose or have two characters in lower case, apostrophes of
+#: contractions, and those separators.
+_SPECIAL = re.compile(r"[^\x00-\x7fÀ-ɏ]|[×÷İ'\x1c-\x1f]")
+#: Of each byte: white space 0, a mark or control of ASCII but the apostrophe 2, anything else 1.
+_KIND = np.ones(256, np.uint8)
+_KIND[list(b" \t\n\v\f\r")] = 0
+_KIND[[*range(9), *range(14, 28), *range(33, 39), *range(40, 48), *range(58, 65), *range(91, 97), *range(123, 128)]] = 2
+
+
+def _plain(text: str) -> bool:
+    """No character that _SPECIAL finds; most texts show it without the search."""
+    if text.isascii():
+        return "'" not in text and not any(c in text for c in "\x1c\x1d\x1e\x1f")
+    return not _SPECIAL.search(text)
+
+
+def _chunks(texts: list[str]) -> list[list[str]]:
+    """The chunks of plain lower-case texts: runs between white space, cut where marks and others meet."""
+    if not texts:
+        return []
+    raw = np.frombuffer("\x1e".join(texts).encode(), np.uint8)  # no plain text has the separator
+    kind = _KIND[raw]
+    cut = np.flatnonzero(kind[1:] * kind[:-1] == 2) + 1
+    return [part.split() for part in np.insert(raw, cut, 32).tobytes().decode().split("\x1e")]
 
 
 class _Tokens:
@@ -58,6 +79,8 @@ class _Tokens:
         self.known: dict[str, bytes] = {}
         # Added tokens match in the raw text, or in the lower-case one if they are normalized.
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # What each of them has at its beginning, whatever the case, rules most texts out.
+        self.begins = {re.match(r"[^\w]*", t)[0] for t in added}
         self.added = re.compile("|".join(map(re.escape, sorted(added))) or r"(?!)", re.IGNORECASE)
 
     def _alone(self, texts: list[str]) -> list[bytes]:
@@ -91,13 +114,17 @@ class _Tokens:
         and those with an added token are encoded whole.
         """
         cut: list[list[str] | None] = []
-        for text in texts:
-            if self.added.search(text):  # they may hold marks, and take white space beside them
-                cut.append(None)
-            elif not _SPECIAL.search(text):
-                cut.append(_MARKS.sub(r" \1 ", text.lower()).split())
-            else:  # separators of Python that are not white space to the tokenizer need the whole text
-                cut.append(None if _ODD.search(text) else text.split())
+        plain: list[int] = []
+        for i, text in enumerate(texts):
+            cut.append(None)
+            if any(b in text for b in self.begins) and self.added.search(text):
+                continue  # added tokens may hold marks, and take white space beside them
+            if _plain(text):
+                plain.append(i)
+            elif not _ODD.search(text):  # separators of Python that are not white space to the tokenizer need the whole text
+                cut[i] = text.split()
+        for i, parts in zip(plain, _chunks([texts[i].lower() for i in plain]), strict=True):
+            cut[i] = parts
         seen: set[str] = set()
         for parts in cut:
             seen.update(parts or ())

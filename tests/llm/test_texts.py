@@ -210,6 +210,23 @@ def test_packing_added_tokens(spark):
     check_packing(packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), WORDS).collect(), dict(enumerate(texts)))
 
 
+def test_packing_odd_characters(spark):
+    texts = ["a\x01b!c", "x\x7f!y", "a\x00!b", "\u0130!", "x'y's", "tab\t!\n.x", "\u00c9 \u00d6!!\u00df", "a\x1cb", "a<|b", "!!!", "a1!2", "\u00d7!x", "a\u0301!b"]
+    check_packing(packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), WORDS).collect(), dict(enumerate(texts)))
+
+
+def test_names_that_clash(spark):
+    docs = spark.createDataFrame([(1, "a b", 5, "p", "q"), (2, "a b", 6, "r", "s"), (3, None, 7, "t", "mail x@y.org")], "doc_id long, text string, _null int, _parts string, _hits string")
+    kept = dedup.drop_exact(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect())) == [(2, "a b", 6, "r", "s"), (3, None, 7, "t", "mail x@y.org")]
+    out = pii.pseudonymise(docs, "key", text="_hits")
+    assert out.columns == [*docs.columns, "private"]
+    got = {r.doc_id: r for r in out.collect()}
+    assert got[1]["_parts"] == "p" and got[1]["_hits"] == "q" and got[3]["_null"] == 7
+    assert got[3]["_hits"] != "mail x@y.org" and got[3]["private"][0]["value"] == "x@y.org"
+
+
 def test_bpe_spaces_after_other_white_space(spark):
     with open(RANKS, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
