@@ -49,12 +49,12 @@ def exact_groups(
 def drop_exact(docs: DataFrame, key: str = "doc_id", text: str = "text", salts: int = 64) -> DataFrame:
     """One whole row for each text, that with the largest key, by the same three stages; null texts equal empty ones.
 
-    Among rows that repeat the key, any one stays.
+    Among rows that repeat the key, any one stays. Other columns may have any names.
     """
-    others = F.struct(F.col(text).isNull().alias("_null"), *(F.col(c) for c in docs.columns if c != text))
+    others = F.struct(F.col(text).isNull().alias("null"), F.struct(*(F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns) if c != text)).alias("rest"))
     rows = docs.select(text_of(text).alias("_body"), others.alias("_row"), F.struct(F.col(key).isNotNull().alias("known"), F.col(key).alias("id")).alias("_order"))
     rows = rows.withColumn("_digest", sha256(F.col("_body"))).withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
     best = [F.max_by("_row", "_order").alias("_row"), F.max("_order").alias("_order")]
     rows = rows.groupBy("_digest", "_salt", "_body").agg(*best).groupBy("_digest", "_body").agg(*best)
-    body = F.when(~F.col("_row._null"), F.col("_body")).alias(text)
-    return rows.select(*(body if c == text else F.col("_row")[c].alias(c) for c in docs.columns))
+    body = F.when(~F.col("_row.null"), F.col("_body")).alias(text)
+    return rows.select(*(body if c == text else F.col(f"_row.rest.c{i}").alias(c) for i, c in enumerate(docs.columns)))

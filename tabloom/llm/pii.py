@@ -206,16 +206,19 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", back: bool = Fal
     with the same ``key``. Null texts stay null, with no entries; empty ones stay empty. A column
     named ``private`` is replaced; other columns pass through. An empty table gives none.
     """
+    parts_of, hits_of = "_parts", "_hits"
+    while {parts_of, hits_of} & {c.lower() for c in docs.columns}:
+        parts_of, hits_of = f"_{parts_of}", f"_{hits_of}"
     cases = " ".join(f"WHEN '{k}' THEN {pseudonym(k, key, back)}" for k in KINDS)
     body = f"`{text}`"
     kinds = f"transform({_found('part')}, v -> {_let('k', _kind('v'), f'named_struct({chr(39)}kind{chr(39)}, k, {chr(39)}value{chr(39)}, v, {chr(39)}pseudonym{chr(39)}, CASE k {cases} ELSE v END)')})"
     none = "CAST(array() AS array<struct<kind:string,value:string,pseudonym:string>>)"
-    hits = F.expr(f"IF({body} RLIKE '[0-9@]', transform(_parts, part -> {kinds}), array({none}))")
+    hits = F.expr(f"IF({body} RLIKE '[0-9@]', transform({parts_of}, part -> {kinds}), array({none}))")
     joined = f"array_join(zip_with(split(part, {_quoted(PATTERN)}, -1), found, (gap, hit) -> concat(gap, coalesce(hit.pseudonym, ''))), '')"
-    new = F.expr(f"IF(exists(_hits, found -> size(found) > 0), array_join(zip_with(_parts, _hits, (part, found) -> {joined}), ''), {body})")
-    listed = F.expr(f"coalesce(filter(flatten(_hits), x -> x.value <> x.pseudonym), {none})")
+    new = F.expr(f"IF(exists({hits_of}, found -> size(found) > 0), array_join(zip_with({parts_of}, {hits_of}, (part, found) -> {joined}), ''), {body})")
+    listed = F.expr(f"coalesce(filter(flatten({hits_of}), x -> x.value <> x.pseudonym), {none})")
     columns: list[Column] = [new.alias(text) if c == text else F.col(c) for c in docs.columns if c != "private"]
-    return docs.drop("private").withColumn("_parts", F.expr(_parts(body))).withColumn("_hits", hits).select(*columns, listed.alias("private"))
+    return docs.drop("private").withColumn(parts_of, F.expr(_parts(body))).withColumn(hits_of, hits).select(*columns, listed.alias("private"))
 
 
 def mask(docs: DataFrame, key: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:
