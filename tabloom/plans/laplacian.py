@@ -14,15 +14,23 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.plans.sketch import extended, orthonormal, tall_r, times, turned
+from tabloom.plans.sketch import Factor, extended, orthonormal, tall_r, times, turned
 from tabloom.plans.storage import scratch, written
 
+#: Numbers that a basis should hold, and the columns that it may have at least and at most.
+BASIS, LEAST, MOST = 1 << 25, 192, 512
+
 
 def half_walk(links: DataFrame) -> DataFrame:
     """(i, k, a): (I + D^-1/2 W D^-1/2) / 2 of the links (src, dst, weight), taken both ways.
 
     Links of a node with itself, of weight 0 or less, and with a null go; links met more often add up.
     """
+    return _walk(links)[0]
+
+
+def _walk(links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``half_walk`` and (src, degree)."""
     good = links.filter("src <> dst AND weight > 0 AND weight < double('infinity')")
     both = good.select("src", "dst", "weight").unionByName(good.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight"))
     both = written(both.groupBy("src", "dst").agg(F.sum("weight").alias("weight")), "both-ways")
@@ -30,7 +38,7 @@ def half_walk(links: DataFrame) -> DataFrame:
     of = lambda name: degree.select(F.col("src").alias(name), F.sqrt("degree").alias(f"{name}_root"))
     walk = both.join(of("src"), "src").join(of("dst"), "dst")
     off = walk.select(F.col("src").alias("i"), F.col("dst").alias("k"), (F.col("weight") / (2 * F.col("src_root") * F.col("dst_root"))).alias("a"))
-    return off.unionByName(degree.select(F.col("src").alias("i"), F.col("src").alias("k"), F.lit(0.5).alias("a")))
+    return off.unionByName(degree.select(F.col("src").alias("i"), F.col("src").alias("k"), F.lit(0.5).alias("a"))), degree
 
 
 def _ritz(basis: DataFrame, image: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -46,36 +54,43 @@ def _ritz(basis: DataFrame, image: DataFrame) -> tuple[np.ndarray, np.ndarray, n
 
 
 def laplacian_vectors(
-    links: DataFrame, k: int, *, oversample: int = 16, widest: int = 192, tol: float = 1e-8, most_steps: int = 200, seed: int = 0
+    links: DataFrame, k: int, *, oversample: int | None = None, widest: int | None = None, tol: float = 1e-8, most_steps: int = 200, seed: int = 0
 ) -> tuple[np.ndarray, np.ndarray, DataFrame]:
     """(eigenvalues ascending, residual lengths, (id, vec)) of the normalised Laplacian of (src, dst, weight).
 
     ``vec`` holds a node's entries in the ``k`` vectors of unit length; nodes without a link are in none. Fewer
     come back for fewer nodes; no links give none. Steps go on until each residual ``|L v - e v|`` is at most
-    ``tol``; ``most_steps`` without that raise. As many values are zero as the graph has components, up to ``k``.
+    ``tol``; ``most_steps`` without that raise. The space has up to ``widest`` columns and ``k + oversample`` at the
+    start; if not given, they are as many as ``BASIS`` numbers allow, since wide blocks need few steps. As many values are zero as the graph has components, up to ``k``.
     """
     with scratch():
-        matrix = written(half_walk(links), "half-walk")
-        nodes = written(matrix.select("k").distinct(), "nodes")
+        walk, degree = _walk(links)
+        matrix = Factor(written(walk, "half-walk"))
+        nodes = degree.select(F.col("src").alias("k"), F.sqrt("degree").alias("root"))
         total = nodes.count()
         if not total:
             kind = links.schema["src"].dataType.simpleString()
             return np.zeros(0), np.zeros(0), links.sparkSession.createDataFrame([], f"id {kind}, vec array<double>")
-        width = min(k + oversample, total)
+        widest = widest or min(MOST, max(LEAST, BASIS // total))
+        width = min(k + (max(16, widest // 8) if oversample is None else oversample), total)
         unit = lambda j, salt: (F.xxhash64("k", j, F.lit(seed), F.lit(salt)).bitwiseAND(F.lit((1 << 52) - 1)) + 1) / float(1 << 52)
         normal = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda j: F.sqrt(-2 * F.log(unit(j, 1))) * F.cos(2 * math.pi * unit(j, 2)))
-        basis = orthonormal(written(nodes.select("k", normal.alias("vec")), "start"))
+        # The roots of the degrees are a vector of value 0 in any graph, so it need not be found.
+        basis = orthonormal(written(nodes.select("k", F.concat(F.array("root"), normal).alias("vec")), "start"))
+        image = newest = times(matrix, basis)
         for _ in range(most_steps):
-            image = times(matrix, basis)
             values, directions, residuals = _ritz(basis, image)
             if 2 * residuals[:k].max() <= tol:
                 break
             if len(values) >= widest:  # again from the best vectors; their images turn alike
                 best = directions[:, :width]
-                basis, image = orthonormal(written(turned(basis, best), "best")), written(turned(image, best), "best-image")
-            basis, added = extended(basis, image)
+                basis = orthonormal(turned(basis, best))
+                image = newest = times(matrix, basis)
+            basis, added = extended(basis, newest)
             if added is None:  # the space holds all its images but for rounding, so nothing nearer can come
                 break
+            newest = times(matrix, added)
+            image = written(image.join(newest.select("k", F.col("vec").alias("_new")), "k").select("k", F.concat("vec", "_new").alias("vec")), "image")
         else:
             raise RuntimeError(f"residuals of {2 * residuals[:k].max():.1e} are left after {most_steps} steps")
         vectors = written(turned(basis, directions[:, :k]), "laplacian-vectors", outlive=True)

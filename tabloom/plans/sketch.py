@@ -12,51 +12,54 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.plans.matmul import block_product
 from tabloom.plans.storage import written
 
-#: Triangles that one task merges.
+#: Groups that triangles are merged in before the last merge.
 FAN = 64
+#: Numbers of a dense block, and entries of a sparse one, that a task holds.
+AT_ONCE, ENTRIES = 1 << 22, 1 << 21
 #: Directions below this share of the longest are no part of a range.
 NOTHING = 1e-12
 #: What a power step adds counts from this share of its length on.
 LITTLE = 1e-9
 
 
-def _triangle(rows: np.ndarray, upper: np.ndarray | None) -> np.ndarray:
-    return np.linalg.qr(rows if upper is None else np.vstack([upper, rows]), mode="r")
+def _triangle(blocks: Iterator[np.ndarray]) -> np.ndarray | None:
+    """The triangle of all rows of the blocks; short blocks wait until together they are worth a QR."""
+    held, rows = [], 0
+    for block in blocks:
+        held.append(block)
+        rows += len(block)
+        if rows >= 2 * block.shape[1]:
+            held = [np.linalg.qr(np.vstack(held), mode="r")]
+            rows = len(held[0])
+    return np.linalg.qr(np.vstack(held), mode="r") if held else None
 
 
 def tall_r(rows: DataFrame, vector: str = "vec", fan: int = FAN) -> np.ndarray:
-    """The triangle R of the QR of all rows: one triangle a task, merged ``fan`` at a time until one is left."""
-    schema = pa.schema([("at", pa.int64()), ("r", pa.binary())])
+    """The triangle R of the QR of all rows: one triangle a task, merged in ``fan`` groups and then in one, all in one job."""
+    kind = "at long, wide int, r binary"
+    schema = pa.schema([("at", pa.int64()), ("wide", pa.int32()), ("r", pa.binary())])
 
     def local(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        upper = None
-        for part in parts:
-            if part.num_rows:
-                upper = _triangle(part.column(0).flatten().to_numpy().reshape(part.num_rows, -1), upper)
+        upper = _triangle(part.column(0).flatten().to_numpy().reshape(part.num_rows, -1) for part in parts if part.num_rows)
         if upper is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([upper.tobytes()], pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_pydict({"at": [TaskContext.get().partitionId()], "wide": [upper.shape[1]], "r": [upper.tobytes()]}, schema=schema)
 
     def merged(key: tuple, some: pd.DataFrame) -> pd.DataFrame:
-        upper = None
-        for r in some.sort_values("at")["r"]:
-            upper = _triangle(np.frombuffer(r).reshape(-1, width), upper)
-        return pd.DataFrame({"at": [key[0]], "r": [upper.tobytes()]})
+        some = some.sort_values("at")
+        upper = _triangle(np.frombuffer(r).reshape(-1, wide) for wide, r in zip(some["wide"], some["r"], strict=True))
+        return pd.DataFrame({"at": [key[0]], "wide": [upper.shape[1]], "r": [upper.tobytes()]})
 
-    first = rows.select(F.size(vector)).first()
-    if first is None:
-        return np.zeros((0, 0))
-    width = first[0]
-    triangles = written(rows.select(vector).mapInArrow(local, "at long, r binary"), "triangles")
-    while triangles.count() > 1:  # task numbers shrink by ``fan`` each time
-        triangles = written(triangles.groupBy(F.expr(f"at div {fan}").alias("at")).applyInPandas(merged, "at long, r binary"), "triangles")
-    return np.frombuffer(triangles.first()["r"]).reshape(-1, width)
+    triangles = rows.select(vector).mapInArrow(local, kind)
+    triangles = triangles.groupBy((F.col("at") % fan).alias("at")).applyInPandas(merged, kind)
+    last = triangles.groupBy(F.lit(0).alias("at")).applyInPandas(merged, kind).first()
+    return np.zeros((0, 0)) if last is None else np.frombuffer(last["r"]).reshape(-1, last["wide"])
 
 
 def turned(rows: DataFrame, by: np.ndarray, vector: str = "vec") -> DataFrame:
@@ -77,8 +80,8 @@ def orthonormal(rows: DataFrame, vector: str = "vec") -> DataFrame:
             return rows
         _, sizes, right = np.linalg.svd(r)
         keep = sizes > NOTHING * sizes[0] if sizes[0] else sizes > 0
-        rows = written(turned(rows, right[: len(sizes)][keep].T / sizes[keep], vector), "orthonormal")
-    return rows
+        rows = turned(rows, right[: len(sizes)][keep].T / sizes[keep], vector)
+    return written(rows, "orthonormal")
 
 
 def extended(basis: DataFrame, block: DataFrame) -> tuple[DataFrame, DataFrame | None]:
@@ -100,22 +103,70 @@ def extended(basis: DataFrame, block: DataFrame) -> tuple[DataFrame, DataFrame |
         if not keep.any():
             return basis, None
         add = np.vstack([-share, np.eye(share.shape[1])]) @ (right[: len(sizes)][keep].T / sizes[keep])
-        both = written(turned(both, np.hstack([np.eye(old + share.shape[1])[:, :old], add])), "sketch-basis")
+        both = turned(both, np.hstack([np.eye(old + share.shape[1])[:, :old], add]))
+    both = written(both, "sketch-basis")
     return both, both.select("k", F.slice("vec", old + 1, int(keep.sum())).alias("vec"))
 
 
-def _long(rows: DataFrame) -> DataFrame:
-    return rows.select("k", F.posexplode("vec").alias("j", "b"))
-
-
-def _rows(products: DataFrame, name: str) -> DataFrame:
-    pairs = F.array_sort(F.collect_list(F.struct("j", "b")))  # as long as the sketch is wide
-    return products.groupBy(F.col("i").alias(name)).agg(F.transform(pairs, lambda p: p["b"]).alias("vec"))
-
-
-def times(matrix: DataFrame, rows: DataFrame) -> DataFrame:
-    """(k, vec): the matrix ``(i, k, a)`` times the tall matrix ``(k, vec)``, named by ``i``. Rows without entries do not appear."""
-    return written(_rows(block_product(matrix, _long(rows)), "k"), "sketch")
+class Factor:
+    """A matrix ``(i, k, a)`` that tall matrices are multiplied by, with its size counted once."""
+
+    def __init__(self, entries: DataFrame):
+        self.entries = entries.select("i", "k", F.col("a").cast("double").alias("a"))
+        counts = entries.agg(F.approx_count_distinct("i"), F.approx_count_distinct("k"), F.count(F.lit(1))).first()
+        self.rows, self.cols, self.size = (max(1, n) for n in counts)
+
+
+def _cell_product(left: pa.Table, right: pa.Table) -> pa.Table:
+    """The rows of a block's entries times the vectors of its columns, one vector a row met."""
+    ids, vecs = left.column("i").combine_chunks(), right.column("vec").combine_chunks()
+    at = pc.index_in(left.column("k").combine_chunks(), value_set=right.column("k").combine_chunks(), skip_nulls=True)
+    known = pc.is_valid(at)
+    ids = ids.filter(known)
+    if not len(ids):
+        return pa.table({"k": pa.array([], ids.type), "vec": pa.array([], pa.list_(pa.float64()))})
+    at = at.filter(known).to_numpy()
+    b = vecs.flatten().to_numpy().reshape(len(vecs), -1)
+    a = left.column("a").combine_chunks().filter(known).to_numpy()
+    codes = ids.dictionary_encode(null_encoding="encode")
+    row = codes.indices.to_numpy()
+    order = np.argsort(row, kind="stable")
+    row, at, a = row[order], at[order], a[order]
+    wide, out = b.shape[1], np.zeros((len(codes.dictionary), b.shape[1]))
+    step = max(1, AT_ONCE // max(1, wide))
+    for low in range(0, len(row), step):
+        part = slice(low, low + step)
+        starts = np.flatnonzero(np.diff(row[part], prepend=-1))
+        out[row[part][starts]] += np.add.reduceat(a[part, None] * b[at[part]], starts, axis=0)
+    offsets = pa.array(np.arange(len(out) + 1, dtype=np.int32) * wide)
+    return pa.table({"k": codes.dictionary, "vec": pa.ListArray.from_arrays(offsets, pa.array(out.ravel()))})
+
+
+def times(matrix: Factor | DataFrame, rows: DataFrame, wide: int | None = None) -> DataFrame:
+    """(k, vec): the matrix ``(i, k, a)`` times the tall matrix ``(k, vec)``, named by ``i``. Rows without entries do not appear.
+
+    A task meets a block of entries with the vectors of its columns and gives one summed vector for each of its rows,
+    so what moves are whole vectors: one for a row and block of columns, and one for a column and block of rows.
+    ``wide`` is the length of the vectors, if known.
+    """
+    matrix = matrix if isinstance(matrix, Factor) else Factor(matrix)
+    if wide is None:
+        first = rows.select(F.size("vec")).first()
+        wide = first[0] if first else 1
+    most = max(1, AT_ONCE // max(1, wide))  # vectors that a task holds on either side
+    n_i, n_k = (max(1, math.ceil(n / most)) for n in (matrix.rows, matrix.cols))
+    more = math.ceil(matrix.size / ENTRIES / (n_i * n_k))
+    n_i, n_k = (n_i * more, n_k) if matrix.rows >= matrix.cols else (n_i, n_k * more)
+    block = lambda column, n: F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
+    left = matrix.entries.select("i", "k", "a", block("i", n_i).alias("bi"), block("k", n_k).alias("bk"))
+    right = rows.select("k", "vec", F.explode(F.sequence(F.lit(0), F.lit(n_i - 1))).alias("bi"), block("k", n_k).alias("bk"))
+    kind = matrix.entries.schema["i"].dataType.simpleString()
+    parts = left.groupBy("bi", "bk").cogroup(right.groupBy("bi", "bk")).applyInArrow(_cell_product, f"k {kind}, vec array<double>")
+    if n_k > 1:
+        add = lambda x, y: F.zip_with(x, y, lambda u, v: u + v)
+        parts = parts.groupBy("k").agg(F.collect_list("vec").alias("all"))
+        parts = parts.select("k", F.aggregate(F.slice("all", 2, n_k), F.col("all")[0], add).alias("vec"))
+    return written(parts, "sketch")
 
 
 def singular_vectors(matrix: DataFrame, k: int, *, oversample: int = 100, rounds: int = 2, tol: float = 1e-6, seed: int = 0) -> tuple[np.ndarray, DataFrame]:
@@ -138,7 +189,7 @@ def singular_vectors(matrix: DataFrame, k: int, *, oversample: int = 100, rounds
 
     normal = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda j: F.sqrt(-2 * F.log(unit(j, 1))) * F.cos(2 * math.pi * unit(j, 2)))
     block = basis = orthonormal(written(columns.select("k", normal.alias("vec")), "sketch"))
-    flipped = matrix.select(F.col("k").alias("i"), F.col("i").alias("k"), "a")
+    flipped, matrix = Factor(matrix.select(F.col("k").alias("i"), F.col("i").alias("k"), "a")), Factor(matrix)
     before = None
     while True:
         for _ in range(rounds):

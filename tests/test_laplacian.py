@@ -62,3 +62,14 @@ def test_clusters_follow_weak_cuts(spark):
     found = {r.id: r.cluster for r in cluster.spectral_clusters(spark.createDataFrame(links, LINK), 3).collect()}
     groups = [{found[g * 20 + i] for i in range(20)} for g in range(3)]
     assert all(len(g) == 1 for g in groups) and len(set().union(*groups)) == 3
+
+
+def test_first_vector_is_known_at_once(spark):
+    """Many dense parts in a chain of single links have values near zero in plenty, yet the first vector needs no step."""
+    links = [(g * 8 + i, g * 8 + j, 1.0) for g in range(40) for i in range(8) for j in range(i)]
+    links += [(g * 8, g * 8 + 8, 1e-3) for g in range(39)]
+    nodes, exact = dense(links)
+    values, residuals, vectors = laplacian.laplacian_vectors(spark.createDataFrame(links, LINK), 1, oversample=4, widest=12, most_steps=1)
+    found = {r.id: r.vec[0] for r in vectors.collect()}
+    v = np.abs([found[n] for n in nodes])
+    assert np.linalg.norm(exact @ v) < 1e-8 and abs(values[0]) < 1e-12 and residuals[0] < 1e-8

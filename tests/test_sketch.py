@@ -51,3 +51,17 @@ def test_no_entries(spark):
     assert len(values) == 0 and rows.count() == 0
     values, rows = sketch.singular_vectors(spark.range(5).select(F.col("id").alias("i"), F.lit("x").alias("k"), F.lit(0.0).alias("a")), 3)
     assert len(values) == 0
+
+
+@pytest.mark.parametrize("at_once, entries", [(1 << 22, 1 << 21), (12, 1 << 21), (1 << 22, 9)])
+def test_products_in_blocks(spark, monkeypatch, at_once, entries):
+    """Whole vectors move, one for a row and block, whatever the sizes of the blocks; a null column meets nothing."""
+    monkeypatch.setattr(sketch, "AT_ONCE", at_once)
+    monkeypatch.setattr(sketch, "ENTRIES", entries)
+    rng = np.random.default_rng(3)
+    a, b = np.where(rng.random((9, 30)) < 0.4, rng.standard_normal((9, 30)), 0), rng.standard_normal((30, 4))
+    rows = spark.createDataFrame([(f"c{i}", r.tolist()) for i, r in enumerate(b)] + [(None, [9.0] * 4)], "k string, vec array<double>")
+    long = triplets(spark, a)
+    odd = long.unionByName(spark.createDataFrame([(0, None, 1.0), (0, "unknown", 1.0)], "i long, k string, a double"))
+    found = {r["k"]: r["vec"] for r in sketch.times(sketch.Factor(odd), rows).collect()}
+    assert np.allclose([found[i] for i in range(9)], a @ b) and len(found) == 9
