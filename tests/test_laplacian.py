@@ -73,3 +73,12 @@ def test_first_vector_is_known_at_once(spark):
     found = {r.id: r.vec[0] for r in vectors.collect()}
     v = np.abs([found[n] for n in nodes])
     assert np.linalg.norm(exact @ v) < 1e-8 and abs(values[0]) < 1e-12 and residuals[0] < 1e-8
+
+
+def test_small_graphs_need_no_steps(spark):
+    """Values that lie close together do not matter where the space spans all nodes."""
+    a, b = np.random.default_rng(8).integers(0, 260, (2, 4000))
+    links = [(int(x), int(y), 1.0) for x, y in zip(a, b, strict=True)]
+    nodes, exact = dense(links)
+    values, residuals, _ = laplacian.laplacian_vectors(spark.createDataFrame(links, LINK), 4, most_steps=1)
+    assert np.allclose(values, np.linalg.eigvalsh(exact)[:4], atol=1e-9) and residuals.max() < 1e-8
