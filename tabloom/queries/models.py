@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import operator
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LinearSVC, LogisticRegression, NaiveBayes
 from pyspark.ml.feature import VectorAssembler
@@ -290,7 +292,7 @@ def d04_combiners(spark, sf):
         lines, "supplier", "quantity", lambda v: (v, 1), lambda c, v: (c[0] + v, c[1] + 1), lambda a, b: (a[0] + b[0], a[1] + b[1]),
         "struct<quantity:bigint,n:bigint>", lambda c: {"quantity": c[0], "n": c[1]},
     )
-    lists = udfs.aggregate_by_key(lines, "supplier", "quantity", lambda v: [v], lambda c, v: [*c, v], lambda a, b: a + b, "array<int>", sorted)
+    lists = udfs.aggregate_by_key(lines, "supplier", "quantity", lambda v: [v], lambda c, v: operator.iadd(c, [v]), operator.iadd, "array<int>", sorted)
     sums = sums.select("supplier", "quantity.n", "quantity.quantity", F.round(F.col("quantity.quantity") / F.col("quantity.n"), 6).alias("mean"))
     return sums.join(lists.select("supplier", F.array_join("quantity", ",").alias("list")), "supplier")
 

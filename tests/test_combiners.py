@@ -1,6 +1,7 @@
 """User combiners: against plain Python, with hot keys, nulls, and combiners handed on early."""
 
 import math
+import operator
 
 from tabloom.operators.udfs import aggregate_by_key
 
@@ -23,6 +24,17 @@ def test_user_combiners(spark):
     assert aggregate_by_key(df.limit(0), "k", "v", lambda v: v, max, max, "long").count() == 0
 
 
+def test_many_keys_stream(spark):
+    """Thousands of keys, each in every task, come in whole batches and not one call a key; combiners may change in place."""
+    from tabloom.operators import udfs
+
+    df = spark.range(60_000, numPartitions=6).selectExpr("if(id % 5000 = 7, null, id % 5000) AS k", "id AS v")
+    lists = udfs.aggregate_by_key(df, "k", "v", lambda v: [v], lambda c, v: operator.iadd(c, [v]), operator.iadd, "array<long>", sorted, keys_at_once=700)
+    assert "FlatMapGroupsInPandas" not in udfs.plan_text(lists)
+    got = {r.k: r.v for r in lists.collect()}
+    assert got == {None if k == 7 else k: list(range(k, 60_000, 5000)) for k in range(5000)}
+
+
 def test_last_items_in_line(spark):
     from tabloom.operators import windows as win
 
