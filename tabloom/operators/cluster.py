@@ -213,45 +213,40 @@ def eps_counts(
 ) -> DataFrame:
     """(id, n): how many points lie within eps of each point, itself included.
 
-    A cell of at most ``block_rows`` points meets its neighbours in a join that counts at
-    once. Larger cells are cut into blocks, and a task counts one block against another, so a
-    crowded spot is neither one task nor a list of pairs.
+    Cells are cut into blocks of about ``block_rows`` points, and a task counts one block against
+    another, so a crowded spot is neither one task nor a list of pairs.
     """
     celled = df.select("id", *dims, _cell(dims, eps).alias("_cell"))
-    sizes = celled.groupBy("_cell").agg(F.count(F.lit(1)).alias("_size"))
+    sizes = celled.groupBy("_cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("_blocks"))
     celled = written(celled.join(sizes, "_cell"), "cells")
+    # Askers and answers of a cell are dealt to blocks alike, so neither side of a task grows with the crowd.
+    block = lambda salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.col("_blocks")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
     left = _named(celled, dims, "_a_", "id", "_cell").withColumn("_cell", _shifted("_cell", _near_offsets(len(dims), 1.0)))
-    small = _named(celled.filter(F.col("_size") <= block_rows), dims, "_b_", "_cell")
-    near = F.count_if(_within(dims, eps, strict))
-    counts = left.join(small, "_cell").groupBy("id").agg(near.alias("n"))
-
-    crowded = celled.filter(F.col("_size") > block_rows)
-    if not crowded.isEmpty():
-        cut = crowded.withColumn("_blocks", F.ceil(F.col("_size") / block_rows).cast("int"))
-        blocks = cut.select("_cell", "_blocks").distinct()
-        right = cut.select("_cell", *dims, F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int").alias("_block"))
-        asks = left.join(blocks, "_cell").withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-        # Askers are cut as well, so neither side of a task grows with the crowd.
-        asks = asks.withColumn("_part", F.pmod(F.xxhash64("id", F.lit(3)), F.col("_blocks")).cast("int"))
-        answers = right.join(blocks, "_cell").withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-
-        def count(key, points: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
-            a = points[["_a_" + c for c in dims]].to_numpy()
-            b = others[list(dims)].to_numpy()
-            found = np.zeros(len(a), dtype=np.int64)
-            for at in range(0, len(a), 256):
-                gaps = a[at : at + 256, None, :] - b[None, :, :]
-                distance = np.sqrt((gaps * gaps).sum(axis=2))
-                found[at : at + 256] = ((distance < eps) if strict else (distance <= eps)).sum(axis=1)
-            return pd.DataFrame({"id": points["id"], "n": found})
-
-        key = ["_cell_key", "_block", "_part"]
-        text = F.array_join("_cell", ",").alias("_cell_key")
-        more = asks.select("*", text).groupBy(*key).cogroup(answers.select("*", text).groupBy(*key)).applyInPandas(
-            count, "id long, n long"
-        )
-        counts = counts.unionByName(more)
-    return counts.groupBy("id").agg(F.sum("n").alias("n"))
+    asks = left.join(celled.select("_cell", "_blocks").distinct(), "_cell").withColumn("_part", block(3)).withColumn("_block", every)
+    answers = celled.select("_cell", *dims, "_blocks", block(5).alias("_block")).withColumn("_part", every)
+
+    def count(key, points: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+        found = np.zeros(len(points), dtype=np.int64)
+        a = points[["_a_" + c for c in dims]].to_numpy(dtype=float)
+        b = others[list(dims)].to_numpy(dtype=float)
+        step = max(1, (1 << 18) // max(1, len(b)))
+        for at in range(0, len(a), step):
+            square = np.zeros((len(a[at : at + step]), len(b)))
+            for i in range(len(dims)):
+                gap = a[at : at + step, i, None] - b[None, :, i]
+                gap *= gap
+                square += gap
+            distance = np.sqrt(square, out=square)
+            found[at : at + step] = np.count_nonzero((distance < eps) if strict else (distance <= eps), axis=1)
+        return pd.DataFrame({"id": points["id"], "n": found})
+
+    # The rows are few and their pairs many, so partitions that look small by bytes must not be put together.
+    key = ["_cell_key", "_block", "_part"]
+    text = F.array_join("_cell", ",").alias("_cell_key")
+    tasks = df.sparkSession.sparkContext.defaultParallelism * 8
+    left, right = (side.select("*", text).repartition(tasks, *key).groupBy(*key) for side in (asks, answers))
+    return left.cogroup(right).applyInPandas(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def core_points(df: DataFrame, dims: Sequence[str], eps: float, min_pts: int, strict: bool = False) -> DataFrame:

@@ -192,6 +192,10 @@ def test_eps(crowd, strict):
     for block_rows in (4096, 6):
         got = cluster.eps_counts(df, ["x", "y"], 0.05, strict, block_rows)
         assert {r["id"]: r["n"] for r in got.collect()} == want
+        assert "FlatMapCoGroupsInPandas" in got._jdf.queryExecution().toString() and "count_if" not in got._jdf.queryExecution().toString()
+    lost = df.limit(3).selectExpr("id + 1000 AS id", "if(id = 0, null, x) AS x", "if(id = 0, y, null) AS y")
+    got = {r["id"]: r["n"] for r in cluster.eps_counts(df.unionByName(lost), ["x", "y"], 0.05, strict, 6).collect()}
+    assert got == want | {1000: 0, 1001: 0, 1002: 0}
     pairs = {(r["a"], r["b"]) for r in cluster.eps_pairs(df, ["x", "y"], 0.05, strict).collect()}
     assert pairs == {(a, b) for a in range(180) for b in range(a + 1, 180) if near[a, b]}
     core = {r["id"]: r["core"] for r in cluster.core_points(df, ["x", "y"], 0.05, 6, strict).collect()}
