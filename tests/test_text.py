@@ -96,3 +96,27 @@ def test_string_hash(spark, m):
         h = (h * 1024 + ord(ch)) % m
     assert one(spark, value, lambda c: text.string_hash(c, m)) == h
     assert one(spark, "", lambda c: text.string_hash(c, m)) == 0
+
+
+def test_sentence_vectors_in_blocks(spark):
+    """Blocks of documents meet chunks of vectors: no vector is copied for each word of each document."""
+    import numpy as np
+
+    from tabloom.operators import features as feat
+
+    rng = np.random.default_rng(2)
+    table = {f"w{i}": rng.standard_normal(4) for i in range(50)}
+    texts = [(i, " ".join(f"w{j}" for j in rng.integers(0, 70, 12))) for i in range(60)] + [(100, None), (101, ""), (102, "none known"), (3, "w1 w1 w2")]
+    docs = spark.createDataFrame(texts, "doc long, text string")
+    vectors = spark.createDataFrame([(w, v.tolist()) for w, v in table.items()] + [("w60", None), (None, [1.0] * 4)], "word string, vec array<double>")
+    words = {}
+    for i, text in texts:
+        words.setdefault(i, []).extend(table[w] for w in (text or "").split() if w in table)
+    for limits in ({}, {"chunk_words": 7, "most_docs": 9}):
+        out = feat.sentence_vectors(docs, "doc", "text", vectors, 4, **limits)
+        plan = out._jdf.queryExecution().toString()
+        assert "FlatMapCoGroupsInPandas" in plan and "summarizer" not in plan.lower()
+        got = out.collect()
+        assert sorted(r.doc for r in got) == sorted(i for i, _ in texts)
+        for r in got:
+            assert np.allclose(r.vec, np.mean(words[r.doc], axis=0) if words[r.doc] else np.zeros(4), atol=1e-12)
