@@ -45,3 +45,19 @@ def test_last_items_in_line(spark):
             before = sorted((x for x in df.collect() if x.user_id == r.user_id and (x.ts, x.item_id) < (r.ts, r.item_id)), key=lambda x: (x.ts, x.item_id), reverse=True)
             assert [r.last_1, r.last_2] == ([x.item_id for x in before] + [0, 0])[:2]
             assert [r.name_1, r.name_2] == ([x.name for x in before] + [None, None])[:2]
+
+
+def test_itemsets_store_baskets_once(spark, monkeypatch):
+    """Repeated rows, null items and null baskets; the baskets are made lists once, and supports and sets come from those."""
+    from itertools import combinations
+
+    from tabloom.operators import recommend as rec
+
+    stored = []
+    monkeypatch.setattr(rec, "written", lambda df, *more, keep=rec.written: stored.append(1) or keep(df, *more))
+    rows = [(b % 20 or None, "abcd"[b * i % 4] if i else None) for b in range(40) for i in range(4)]
+    got = {tuple(r["items"]): (r.n, round(r.support, 9)) for r in rec.frequent_itemsets(spark.createDataFrame(rows, "basket long, item string"), 0.3).collect()}
+    assert len(stored) == 1
+    baskets = {b: {i for x, i in rows if x == b and i} for b, _ in rows}
+    sizes = {s: sum(set(s) <= have for have in baskets.values()) for n in range(1, 5) for s in combinations("abcd", n)}
+    assert got == {s: (n, round(n / 20, 9)) for s, n in sizes.items() if n >= 0.3 * 20}
