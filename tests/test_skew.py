@@ -352,3 +352,34 @@ def test_tree_takes_many_categories(spark):
 
     df = spark.range(300).selectExpr("concat('c', id % 100) AS c", "double(id % 7) AS x", "double(id % 2) AS label")
     assert models.tree_classifier(df, ["c"], ["x"]).transform(df).count() == 300
+
+
+def test_blocks_meet_without_copies(spark, ratings):
+    """Blocks that meet are read from files: no plan unfolds an entry once for each block it meets."""
+    plans = [
+        pair_sums(ratings, "user_id", "item_id", "rating", rows_per_block=3, cols_per_chunk=9),
+        top_products(ratings, "user_id", "item_id", "rating", 3, rows_per_block=4),
+    ]
+    for df in plans:
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "Generate" not in plan and "Join" in plan
+
+
+def test_counts_alone_are_the_same(ratings):
+    """j03 asks for counts only; they and the sums that r12 asks for equal those of a full run."""
+    full = pair_sums(ratings, "user_id", "item_id", "rating", min_common=2, rows_per_block=3)
+    want = sorted((r["a"], r["b"], r["n"], r["sum_ab"]) for r in full.collect())
+    some = pair_sums(ratings, "user_id", "item_id", "rating", min_common=2, rows_per_block=3, wanted=["sum_ab"])
+    assert some.columns == ["a", "b", "n", "sum_ab"] and sorted(map(tuple, some.collect())) == want
+
+
+def test_blocks_of_text_keys(spark):
+    """Keys of text."""
+    rows = [(f"u{u}", f"i{i}", 1 + (u * i) % 5) for u in range(12) for i in range(u % 3, 9 + u % 4)]
+    df = spark.createDataFrame(rows, "user_id string, item_id string, rating int")
+    for fn in (
+        lambda n: pair_sums(df, "user_id", "item_id", "rating", rows_per_block=n),
+        lambda n: top_products(df, "user_id", "item_id", "rating", 3, rows_per_block=n),
+    ):
+        one, many = ({tuple(r)[:2]: tuple(r)[2:] for r in fn(n).collect()} for n in (100, 2))
+        assert one.keys() == many.keys() and all(one[k] == pytest.approx(many[k]) for k in one)
