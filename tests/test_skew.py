@@ -359,6 +359,7 @@ def test_blocks_meet_without_copies(spark, ratings):
     plans = [
         pair_sums(ratings, "user_id", "item_id", "rating", rows_per_block=3, cols_per_chunk=9),
         top_products(ratings, "user_id", "item_id", "rating", 3, rows_per_block=4),
+        rec.cf_scores(ratings, 3, left_rows=2, right_rows=5),
     ]
     for df in plans:
         plan = df._jdf.queryExecution().optimizedPlan().toString()
@@ -374,12 +375,13 @@ def test_counts_alone_are_the_same(ratings):
 
 
 def test_blocks_of_text_keys(spark):
-    """Keys of text."""
+    """Keys of text, and items that only some blocks of neighbours have rated."""
     rows = [(f"u{u}", f"i{i}", 1 + (u * i) % 5) for u in range(12) for i in range(u % 3, 9 + u % 4)]
     df = spark.createDataFrame(rows, "user_id string, item_id string, rating int")
     for fn in (
         lambda n: pair_sums(df, "user_id", "item_id", "rating", rows_per_block=n),
         lambda n: top_products(df, "user_id", "item_id", "rating", 3, rows_per_block=n),
+        lambda n: rec.cf_scores(df, 3, left_rows=n, right_rows=n),
     ):
         one, many = ({tuple(r)[:2]: tuple(r)[2:] for r in fn(n).collect()} for n in (100, 2))
         assert one.keys() == many.keys() and all(one[k] == pytest.approx(many[k]) for k in one)
