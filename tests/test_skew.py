@@ -385,3 +385,32 @@ def test_blocks_of_text_keys(spark):
     ):
         one, many = ({tuple(r)[:2]: tuple(r)[2:] for r in fn(n).collect()} for n in (100, 2))
         assert one.keys() == many.keys() and all(one[k] == pytest.approx(many[k]) for k in one)
+
+
+def test_genres_move_with_their_ratings(spark):
+    """Scaled ratings and thresholds with null ratings, genres and users; nothing is shuffled by user and genre."""
+    genres = {1: ["a", "b"], 2: ["a", None], 3: ["b", None, "c"], 4: [], 5: None, 6: ["c", "c"]}
+    rows = [(u, i, None if (u, i) == (2, 3) else 1 + ((u or 7) * i) % 5) for u in (1, 2, 3, None) for i in genres if u != 3 or i < 3]
+    df = spark.createDataFrame([(u, i, r, genres[i]) for u, i, r in rows], "user_id long, item_id long, rating int, genre array<string>")
+    long = [(u, i, r, g) for u, i, r in rows for g in genres[i] or []]
+    want_norm, of_user = {}, {}
+    for u, i, r, g in long:
+        same = [x for v, _, x, h in long if (v, h) == (u, g) and x is not None]
+        of_user.setdefault(u, []).append(sum(same) / len(same) if same else None)
+        if u is not None and g is not None:
+            low, high = min(same), max(same)
+            want_norm.setdefault((u, i), []).append(0.0 if low == high else None if r is None else (r - low) / (high - low) * 5)
+    want_norm = {k: [x for x in v if x is not None] for k, v in want_norm.items()}
+    norm, loved = win.norm_rating(df), win.loved_flag(df)
+    got = {(r["user_id"], r["item_id"]): r["norm_rating"] for r in norm.collect()}
+    assert got.keys() == want_norm.keys()
+    assert got == {k: pytest.approx(sum(v) / len(v)) if v else None for k, v in want_norm.items()}
+    got = {(r["user_id"], r["item_id"]): (r["loved"], r["user_threshold"]) for r in loved.collect()}
+    assert got.keys() == {(u, i) for u, i, _ in rows if u is not None}
+    for u, i, r in rows:
+        if u is not None:
+            limit = sum(of_user[u]) / len(of_user[u])
+            assert got[(u, i)] == (None if r is None else int(r > limit + 1e-9), pytest.approx(limit))
+    for out in (norm, loved):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert not [line for line in plan.splitlines() if "Exchange" in line and "_genre" in line]
