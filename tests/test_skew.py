@@ -414,3 +414,19 @@ def test_genres_move_with_their_ratings(spark):
     for out in (norm, loved):
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert not [line for line in plan.splitlines() if "Exchange" in line and "_genre" in line]
+
+
+@pytest.mark.parametrize("size", [{}, {"block_rows": 3, "chunk": 4}])
+def test_block_product_of_asked_pairs(spark, size):
+    """Only asked pairs leave a task, also with ids that a double can't hold; unknown ones and nulls are left out."""
+    big, rng = 2**60, np.random.default_rng(2)
+    a, b = rng.integers(0, 3, (7, 11)), rng.integers(0, 3, (11, 5))
+    def long(m, names):
+        cells = [(big + i, big + j, float(m[i, j])) for i in range(m.shape[0]) for j in range(m.shape[1]) if m[i, j]]
+        return spark.createDataFrame(cells, names)
+    left, right = long(a, "i long, k long, a double"), long(b, "k long, j long, b double")
+    pairs = [(big, big + 1), (big + 3, big), (big, big + 1), (big + 3, big + 4), (big + 99, big), (big, big + 99), (None, big), (big, None)]
+    only = spark.createDataFrame(pairs, "i long, j long")
+    whole = {(r["i"], r["j"]): r["b"] for r in block_product(left, right, **size).collect()}
+    out = block_product(left, right, only=only, **size).collect()
+    assert len(out) == 3 and {(r["i"], r["j"]): r["b"] for r in out} == {p: whole[p] for p in set(pairs) if p in whole}
