@@ -8,10 +8,11 @@ leaves a subtree as soon as what remains can't reach the overlap that its sizes
 
 What is wanted are the classes of linked documents, so a group of copies needs no list of its pairs:
 1. Equal sets are one class, stood for by its smallest id.
-2. Under each prefix n-gram every document is paired with the smallest id there (its pivot). Blocks of
-   a pivot and some of its documents are joined by tries; links give first components.
-3. Prefix n-grams whose documents are still in several components are joined again, pairs of blocks
-   each, so every pair that can be similar has been in one trie or is linked by others already.
+2. Under each prefix n-gram the documents fall into runs by size: two runs differ too much for any link
+   between them. Every document is paired with the smallest id of its run (its pivot), and one that is
+   alone there is not copied at all. Blocks of a pivot and some of its documents are joined by tries;
+   links give first components.
+3. Runs whose documents are still in several components are joined again, pairs of blocks each, so every pair that can be similar has been in one trie or is linked by others already.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ FREQUENT, MOST_FREQUENT = 8, 200_000
 #: N-grams with a hash below this (36 %) are shown beyond the prefix, which tells how much of a text others share.
 LOW = 36 * (2**63 // 100)
 SLICE = 500_000
+#: Bits of the bitmap by which rows of ids that don't matter are left out before anything moves.
+BITS = 2**25
 #: Marks of n-grams by probes that a block holds at once.
 TOGETHER = 8_000_000
 
@@ -176,12 +179,12 @@ def _hot(grams: np.ndarray, frequent: np.ndarray) -> np.ndarray:
 
 
 def _shown(rows: DataFrame, words: int, threshold: tuple[int, int], frequent: np.ndarray) -> DataFrame:
-    """(gram, slot, id): each document under the n-grams of its prefix, and under its others of low hash.
+    """(gram, slot, id, size): each document under the n-grams of its prefix, and under its others of low hash.
 
-    Slot -1 holds an n-gram that isn't known as frequent; frequent ones, which come last in the order
+    ``size`` is that of its set. Slot -1 holds an n-gram that isn't known as frequent; frequent ones, which come last in the order
     and are shown in prefixes only, are dealt over slots by id.
     """
-    schema = pa.schema([("gram", pa.int64()), ("slot", pa.int32()), ("id", pa.int64())])
+    schema = pa.schema([("gram", pa.int64()), ("slot", pa.int32()), ("id", pa.int64()), ("size", pa.int32())])
     ranks = np.argsort(frequent, kind="stable")
     by_gram = frequent[ranks]
 
@@ -192,25 +195,37 @@ def _shown(rows: DataFrame, words: int, threshold: tuple[int, int], frequent: np
         for part in parts:
             texts, ids = part.column(1).to_pylist(), part.column(0).to_numpy(zero_copy_only=False)
             for a, b in slices(texts, SLICE):
-                cold, hot, of = [], [], []
+                cold, hot, of, size = [], [], [], []
                 for s, doc in zip(shingles(texts[a:b], words), ids[a:b].tolist(), strict=True):
                     digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
                     if smallest.get(digest, doc) < doc or not len(s):
                         continue
                     smallest[digest] = doc
                     of.append(doc)
+                    size.append(len(s))
                     is_hot = _hot(s, by_gram)
                     rare, often = s[~is_hot], s[is_hot]
                     prefix = prefix_length(len(s), threshold)
                     cold.append(rare[: max(min(prefix, len(rare)), int(np.searchsorted(rare, LOW)))])
                     order = np.argsort(ranks[np.searchsorted(by_gram, often)], kind="stable") if len(often) else slice(0)
                     hot.append(often[order][: max(0, prefix - len(rare))])
-                doc = np.array(of, np.int64)
-                of_cold, of_hot = np.repeat(doc, [len(s) for s in cold]), np.repeat(doc, [len(s) for s in hot])
-                slots = np.concatenate([np.full(len(of_cold), -1), (_mix(of_hot.astype(np.uint64)) % np.uint64(SLOTS)).astype(np.int64)])
-                yield batch(schema, np.concatenate([np.zeros(0, np.int64), *cold, *hot]), slots.astype(np.int32), np.concatenate([of_cold, of_hot]))
+                at = np.arange(len(of))
+                at = np.concatenate([np.repeat(at, [len(s) for s in cold]), np.repeat(at, [len(s) for s in hot])])
+                doc, n_cold = np.array(of, np.int64)[at], sum(map(len, cold))
+                slots = np.concatenate([np.full(n_cold, -1), (_mix(doc[n_cold:].astype(np.uint64)) % np.uint64(SLOTS)).astype(np.int64)])
+                yield batch(schema, np.concatenate([np.zeros(0, np.int64), *cold, *hot]), slots.astype(np.int32), doc, np.array(size, np.int32)[at])
 
-    return rows.filter("id IS NOT NULL").mapInArrow(work, "gram bigint, slot int, id bigint")
+    return rows.filter("id IS NOT NULL").mapInArrow(work, "gram bigint, slot int, id bigint, size int")
+
+
+def _nearly_among(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """All rows whose id is among ``ids``, and few others: a bitmap of hashes goes to the tasks, of 4 MB at most, so the rows stay where they are."""
+    hashed = F.pmod(F.xxhash64("id"), F.lit(BITS))
+    word, bit = F.shiftright(hashed, 6), F.pmod(hashed, F.lit(64)).cast("int")
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+    bitmap = ids.groupBy(word.alias("_word")).agg(F.bit_or(one).alias("_bits"))
+    marked = rows.withColumn("_word", word).join(F.broadcast(bitmap), "_word")
+    return marked.filter(F.col("_bits").bitwiseAND(one) != 0).select(rows.columns)
 
 
 class _Trie:
@@ -337,6 +352,15 @@ def linked(sets: list[np.ndarray], groups: list | None = None, threshold: tuple[
     return out
 
 
+def _runs(rows: DataFrame, by: list[str], threshold: tuple[int, int]) -> DataFrame:
+    """Adds ``run``, a number by size (``least`` to ``most``) within ``by``: ids of different runs can't be similar."""
+    top, bottom = threshold
+    order = Window.partitionBy(*by).orderBy("least", "id")
+    before, upto = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(Window.unboundedPreceding, 0)
+    cut = F.col("least") * top > F.max("most").over(before) * bottom
+    return rows.withColumn("run", F.coalesce(cut, F.lit(False)).cast("int")).withColumn("run", F.sum("run").over(upto))
+
+
 def _join_blocks(blocks: DataFrame, sets: DataFrame, by: list[str], threshold: tuple[int, int]) -> DataFrame:
     """Links (a, b) within each block: ``blocks`` has the columns ``by``, id and comp; ``sets`` has id and grams."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -394,45 +418,51 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words
     # other document has are among the lacking ones. Sets with more of them go, with most chance meetings.
     here = Window.partitionBy("gram", "slot")
     met = _shown(rows, words, threshold, frequent).withColumn("n", F.count(F.lit(1)).over(here)).filter("n > 1 OR slot >= 0")
-    met = written(met.select("gram", "slot", "id"), "shared-grams")
+    met = written(met.select("gram", "slot", "id", "size"), "shared-grams")
     shared = met.filter(f"slot < 0 AND gram < {LOW}").groupBy("id").agg(F.count(F.lit(1)).alias("shared"))
     top, bottom = threshold
     may = reps.join(shared, F.col("rep") == F.col("id"), "left").filter(F.expr(f"low - coalesce(shared, 0) <= n - (n * {top} + {bottom - 1}) DIV {bottom}"))
     may = written(may.select(F.col("rep").alias("id"), F.col("n").alias("size")), "open-sets")
-    open_met = met.join(may, "id", "left_semi").withColumn("pivot", F.min("id").over(here)).withColumn("n", F.count(F.lit(1)).over(here)).filter("n > 1 OR slot >= 0")
-    open_met = written(open_met.drop("n"), "open-shared-grams")
+    sized = _nearly_among(met, may).select("gram", "slot", "id", F.col("size").alias("least"), F.col("size").alias("most"))
+    open_met = _runs(sized, ["gram", "slot"], threshold)
+    here = Window.partitionBy("gram", "slot", "run")
+    open_met = open_met.withColumn("pivot", F.min("id").over(here)).withColumn("n", F.count(F.lit(1)).over(here)).filter("n > 1 OR slot >= 0")
+    open_met = written(open_met.drop("n", "run"), "open-shared-grams")
     dropped(met)
     met = open_met
 
-    # Every document with the smallest id under each n-gram; slots of one n-gram meet at its smallest.
-    of_slots = met.filter("slot >= 0").groupBy("gram", "slot").agg(F.min("pivot").alias("id"))
-    of_gram = of_slots.groupBy("gram").agg(F.min("id").alias("pivot"))
-    pairs = met.select("pivot", "id").unionByName(of_slots.join(of_gram, "gram").select("pivot", "id")).filter("pivot <> id").distinct()
+    # Every document with the smallest id of its run; runs in the slots of one n-gram meet at their smallest.
+    of_slots = met.filter("slot >= 0").groupBy("gram", F.col("pivot").alias("id")).agg(F.min("least").alias("least"), F.max("most").alias("most"))
+    of_slots = _runs(of_slots, ["gram"], threshold).withColumn("pivot", F.min("id").over(Window.partitionBy("gram", "run")))
+    of_slots = written(of_slots.select("gram", "id", "pivot"), "slot-pivots")
+    pairs = met.select("pivot", "id").unionByName(of_slots.select("pivot", "id")).filter("pivot <> id").distinct()
     per_pivot = F.ceil(F.count(F.lit(1)) / (block - 1)).cast("int").alias("parts")
     whole_pairs = written(pairs, "pairs")
     sizes = whole_pairs.groupBy("pivot").agg(per_pivot)
     pairs = written(whole_pairs.join(sizes, "pivot").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts"))), "parted-pairs")
     dropped(whole_pairs)
     active = pairs.select("id").unionByName(pairs.select(F.col("pivot").alias("id"))).distinct()
-    whole = written(_sets(rows.join(active, "id", "left_semi"), words, threshold, None).select("id", "grams"), "active-sets")
+    whole = written(_sets(_nearly_among(rows, active), words, threshold, None).select("id", "grams"), "active-sets")
     blocks = pairs.select("pivot", "part", "id").unionByName(pairs.select("pivot", "part", F.col("pivot").alias("id")).distinct())
     links = written(_join_blocks(blocks.withColumn("comp", F.col("id")), whole, ["pivot", "part"], threshold), "links")
     comps = written(components(links), "components")
 
-    # What no single block has held: n-grams in slots, or of a pivot with several blocks, in more than one component.
+    # What no single block has held: runs in slots, or of a pivot with several blocks, in more than one component.
     split = pairs.filter("parts > 1").select("pivot").distinct()
-    open_ = met.filter("slot >= 0").select("gram", "id").unionByName(met.filter("slot < 0").join(split, "pivot", "left_semi").select("gram", "id"))
-    open_ = open_.join(comps, "id", "left").select("gram", "id", F.coalesce("comp", "id").alias("comp"))
+    in_slots = met.filter("slot >= 0").select("gram", F.col("pivot").alias("slot_pivot"), "id")
+    in_slots = in_slots.join(of_slots.withColumnRenamed("id", "slot_pivot"), ["gram", "slot_pivot"]).select("gram", "pivot", "id")
+    open_ = in_slots.unionByName(met.filter("slot < 0").join(split, "pivot", "left_semi").select("gram", "pivot", "id"))
+    open_ = open_.join(comps, "id", "left").select("gram", "pivot", "id", F.coalesce("comp", "id").alias("comp"))
     open_ = written(open_, "open-grams")
-    dropped(met, pairs)
-    # An n-gram's largest component is compared with the other documents there; n-grams with the same others are one group.
-    parts = open_.groupBy("gram", "comp").agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("sign"))
+    dropped(met, pairs, of_slots)
+    # A run's largest component is compared with the other documents there; runs with the same others are one group.
+    parts = open_.groupBy("gram", "pivot", "comp").agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("sign"))
     size = F.struct("n", "comp")
-    parts = parts.groupBy("gram").agg(
+    parts = parts.groupBy("gram", "pivot").agg(
         F.max_by("comp", size).alias("main"), (F.sum("n") - F.max("n")).alias("n_out"), (F.sum("sign") - F.max_by("sign", size)).alias("sign")
     ).filter("n_out > 0")
     group = ["main", "n_out", "sign"]
-    members = written(open_.join(parts, "gram").select(*group, "id", "comp").distinct().join(may, "id"), "open-groups")
+    members = written(open_.join(parts, ["gram", "pivot"]).select(*group, "id", "comp").distinct().join(may, "id"), "open-groups")
     dropped(open_, may)
     is_main, half = F.col("comp") == F.col("main"), block // 2
     n_blocks = lambda side: F.least(F.ceil(F.count_if(side) / half), F.ceil(F.sum(F.when(side, F.col("size"))) / GRAMS)).cast("int")

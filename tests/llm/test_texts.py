@@ -234,3 +234,22 @@ def test_bpe_spaces_after_other_white_space(spark):
     texts = ["a \xa0 \xa0 b", "x\n \ny", "a\t b", "\xa0 \xa0 \xa0", "p\u2003 q \x85 r", "one two", "end "]
     got = bpe.encode(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), RANKS).collect()
     assert {r.doc_id: list(r.ids) for r in got} == {i: coder.encode_ordinary(t) for i, t in enumerate(texts)}
+
+
+def test_jaccard_copies_only_sets_of_near_sizes(spark, monkeypatch):
+    """Texts that share n-grams but differ too much in size for a link are not copied to a common block."""
+    words = [f"w{i}" for i in range(400)]
+    rows = [(k, " ".join(words[:n] + [f"own{k}x{i}" for i in range(n // 8)])) for k, n in enumerate((20, 20, 60, 180, 360))]
+    seen, join = [], jaccard._join_blocks
+
+    def counted(blocks, *rest):
+        seen.append({r.id for r in blocks.select("id").collect()})
+        return join(blocks, *rest)
+
+    monkeypatch.setattr(jaccard, "_join_blocks", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for frequent in (jaccard.FREQUENT, 1):  # n-grams of no slot, and in slots
+        monkeypatch.setattr(jaccard, "FREQUENT", frequent)
+        got = jaccard.near_classes(docs).collect()
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_classes(rows)
+    assert seen[0] <= {0, 1} and seen[2] <= {0, 1}
