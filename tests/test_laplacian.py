@@ -82,3 +82,28 @@ def test_small_graphs_need_no_steps(spark):
     nodes, exact = dense(links)
     values, residuals, _ = laplacian.laplacian_vectors(spark.createDataFrame(links, LINK), 4, most_steps=1)
     assert np.allclose(values, np.linalg.eigvalsh(exact)[:4], atol=1e-9) and residuals.max() < 1e-8
+
+
+def test_small_graphs_are_solved_in_one_task(spark, monkeypatch):
+    """No sketch, and so no triangles as wide as the graph, for few nodes."""
+    monkeypatch.setattr(laplacian, "orthonormal", None)
+    for kind in ("hub", "components"):
+        links = graph(kind)
+        nodes, exact = dense(links)
+        values, residuals, vectors = laplacian.laplacian_vectors(spark.createDataFrame(links, LINK), 4)
+        v = np.array([r.vec for r in sorted(vectors.collect(), key=lambda r: r.id)])
+        assert np.allclose(values, np.linalg.eigvalsh(exact)[:4], atol=1e-9) and residuals.max() < 1e-9
+        assert np.linalg.norm(exact @ v - v * values, axis=0).max() < 1e-9 and np.allclose(v.T @ v, np.eye(4), atol=1e-9)
+
+
+@pytest.mark.parametrize("kind", ["hub", "components", "random"])
+def test_steps_within_a_task(kind):
+    import pyarrow as pa
+
+    links = [link for link in graph(kind) if link[0] != link[1]]
+    nodes, exact = dense(links)
+    own = laplacian._Graph(pa.table(dict(zip(("src", "dst", "weight"), map(list, zip(*links, strict=True)), strict=True))))
+    values, vectors, residuals = laplacian._krylov(own, 4, 1e-8, 800, 0)
+    v = vectors[np.argsort(own.ids.to_numpy())]
+    assert np.allclose(2 * (1 - values), np.linalg.eigvalsh(exact)[:4], atol=1e-9) and 2 * residuals.max() <= 1e-8
+    assert np.linalg.norm(exact @ v - v * (2 * (1 - values)), axis=0).max() < 1e-7 and np.allclose(v.T @ v, np.eye(4), atol=1e-9)
