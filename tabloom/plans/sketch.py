@@ -142,12 +142,12 @@ def _cell_product(left: pa.Table, right: pa.Table) -> pa.Table:
     return pa.table({"k": codes.dictionary, "vec": pa.ListArray.from_arrays(offsets, pa.array(out.ravel()))})
 
 
-def times(matrix: Factor | DataFrame, rows: DataFrame, wide: int | None = None) -> DataFrame:
+def times(matrix: Factor | DataFrame, rows: DataFrame, wide: int | None = None, *, store: bool = True) -> DataFrame:
     """(k, vec): the matrix ``(i, k, a)`` times the tall matrix ``(k, vec)``, named by ``i``. Rows without entries do not appear.
 
     A task meets a block of entries with the vectors of its columns and gives one summed vector for each of its rows,
     so what moves are whole vectors: one for a row and block of columns, and one for a column and block of rows.
-    ``wide`` is the length of the vectors, if known.
+    ``wide`` is the length of the vectors, if known. What is read once only need not be a stored table.
     """
     matrix = matrix if isinstance(matrix, Factor) else Factor(matrix)
     if wide is None:
@@ -166,7 +166,49 @@ def times(matrix: Factor | DataFrame, rows: DataFrame, wide: int | None = None)
         add = lambda x, y: F.zip_with(x, y, lambda u, v: u + v)
         parts = parts.groupBy("k").agg(F.collect_list("vec").alias("all"))
         parts = parts.select("k", F.aggregate(F.slice("all", 2, n_k), F.col("all")[0], add).alias("vec"))
-    return written(parts, "sketch")
+    return written(parts, "sketch") if store else parts
+
+
+def asked_products(entries: DataFrame, vectors: DataFrame, asked: DataFrame, wide: int) -> DataFrame:
+    """(i, j, dot) for the pairs ``asked(i, j)``: row ``i`` of ``entries(i, k, a)`` times the tall matrix ``(k, vec)``, times the vector of ``j``.
+
+    A task meets a block of rows, with all they ask, with a slice of the columns of the tall matrix, so the products of
+    the rows never leave it. Pairs whose ``i`` has no entry or whose ``j`` no vector do not appear, repeated ones once.
+    """
+    sizes = entries.agg(F.approx_count_distinct("i").alias("i"), F.approx_count_distinct("k").alias("k"), F.count(F.lit(1)).alias("n")).first()
+    width = max(1, min(wide, AT_ONCE // max(1, sizes["k"])))
+    n_slices = math.ceil(wide / width)
+    n_rows = max(1, math.ceil(sizes["i"] * width / AT_ONCE), math.ceil(sizes["n"] / ENTRIES))
+    block = F.pmod(F.xxhash64("i"), F.lit(n_rows)).cast("int").alias("block")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    kind_i, kind_k = (entries.schema[c].dataType for c in "ik")
+    wanted = asked.select(F.col("i").cast(kind_i).alias("i"), F.col("j").cast(kind_k).alias("k"), F.lit(None).cast("double").alias("a"), F.lit(True).alias("asked"))
+    left = entries.select("i", "k", F.col("a").cast("double").alias("a"), F.lit(False).alias("asked")).unionByName(wanted.dropna(subset=["i", "k"]))
+    left = left.select("*", block, every(n_slices).alias("slice"))
+    right = vectors.select("k", "vec", every(n_rows).alias("block")).select("*", every(n_slices).alias("slice"))
+    right = right.select("block", "slice", "k", F.slice("vec", F.col("slice") * width + 1, F.lit(width)).alias("vec"))
+
+    def cell(own: pa.Table, tall: pa.Table) -> pa.Table:
+        pairs, own = own.filter(own.column("asked")), own.filter(pc.invert(own.column("asked")))
+        rows = _cell_product(own, tall)
+        ids = [(rows.column("k").combine_chunks(), pairs.column("i")), (tall.column("k").combine_chunks(), pairs.column("k"))]
+        at_i, at_k = (pc.index_in(c.combine_chunks(), value_set=known, skip_nulls=True) for known, c in ids)
+        met = pc.and_(pc.is_valid(at_i), pc.is_valid(at_k))
+        pairs = pairs.select(["i", "k"]).rename_columns(["i", "j"]).filter(met)
+        both = np.stack([at.filter(met).to_numpy().astype(np.int64) for at in (at_i, at_k)])
+        first = np.unique(both[0] * max(1, tall.num_rows) + both[1], return_index=True)[1]
+        if not len(first):
+            return pairs.append_column("dot", pa.array([], pa.float64()))
+        (x, y), both = (table.column("vec").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1) for table in (rows, tall)), both[:, first]
+        dots, step = np.zeros(len(first)), max(1, AT_ONCE // 4 // x.shape[1])
+        for low in range(0, len(first), step):
+            i, k = both[:, low : low + step]
+            dots[low : low + step] = np.einsum("ij,ij->i", x[i], y[k])
+        return pairs.take(pa.array(first)).append_column("dot", pa.array(dots))
+
+    kinds = f"i {kind_i.simpleString()}, j {kind_k.simpleString()}, dot double"
+    dots = left.groupBy("block", "slice").cogroup(right.groupBy("block", "slice")).applyInArrow(cell, kinds)
+    return dots if n_slices == 1 else dots.groupBy("i", "j").agg(F.sum("dot").alias("dot"))
 
 
 def singular_vectors(matrix: DataFrame, k: int, *, oversample: int = 100, rounds: int = 2, tol: float = 1e-6, seed: int = 0) -> tuple[np.ndarray, DataFrame]:
@@ -195,7 +237,7 @@ def singular_vectors(matrix: DataFrame, k: int, *, oversample: int = 100, rounds
         for _ in range(rounds):
             if width < total and block is not None:
                 basis, block = extended(basis, times(flipped, times(matrix, block)))
-        r = tall_r(times(matrix, basis))
+        r = tall_r(times(matrix, basis, store=False))
         if not r.size:
             return np.zeros(0), basis.filter(F.lit(False))
         _, values, right = np.linalg.svd(r)

@@ -65,3 +65,31 @@ def test_products_in_blocks(spark, monkeypatch, at_once, entries):
     odd = long.unionByName(spark.createDataFrame([(0, None, 1.0), (0, "unknown", 1.0)], "i long, k string, a double"))
     found = {r["k"]: r["vec"] for r in sketch.times(sketch.Factor(odd), rows).collect()}
     assert np.allclose([found[i] for i in range(9)], a @ b) and len(found) == 9
+
+
+@pytest.mark.parametrize("at_once", [1 << 22, 64])
+def test_asked_products(spark, monkeypatch, at_once):
+    """Pairs asked twice, rows without entries, unknown columns and nulls; in one block, and in slices of columns."""
+    monkeypatch.setattr(sketch, "AT_ONCE", at_once)
+    rng = np.random.default_rng(3)
+    a, v = np.where(rng.random((12, 9)) < 0.5, rng.standard_normal((12, 9)), 0.0), rng.standard_normal((9, 20))
+    a[5] = 0
+    entries = spark.createDataFrame([(int(i), int(k), float(a[i, k])) for i, k in zip(*np.nonzero(a), strict=True)], "i long, k long, a double")
+    vectors = spark.createDataFrame([(k, row.tolist()) for k, row in enumerate(v)], "k long, vec array<double>")
+    pairs = [(i, j) for i in range(14) for j in range(11)]
+    asked = spark.createDataFrame([*pairs, (1, 1), (None, 2), (2, None)], "i long, j long")
+    found = sketch.asked_products(entries, vectors, asked, 20).collect()
+    exact = a @ v @ v.T
+    assert sorted((r.i, r.j) for r in found) == [(i, j) for i, j in pairs if i < 12 and i != 5 and j < 9]
+    assert all(abs(r.dot - exact[r.i, r.j]) < 1e-9 for r in found)
+
+
+def test_factors_of_users_are_not_unfolded(spark, monkeypatch):
+    """Scores come from where a user's factors are formed: no line for each user and factor."""
+    from tabloom.operators import recommend as rec
+
+    monkeypatch.setattr(rec, "block_product", None)
+    rows = [(u, i, float(1 + (u * i + u) % 5)) for u in range(20) for i in range(8) if (u + i) % 3]
+    train = spark.createDataFrame(rows, "user_id long, item_id long, rating double")
+    out = rec.svd_recommend(train, train.union(spark.createDataFrame([(99, 1, 0.0), (1, 99, 3.0)], train.schema)), 8).collect()
+    assert len(out) == len(rows) + 2 and all(abs(r.score - r.rating) < 1e-9 for r in out if r.user_id != 99)
