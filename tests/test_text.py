@@ -120,3 +120,19 @@ def test_sentence_vectors_in_blocks(spark):
         assert sorted(r.doc for r in got) == sorted(i for i, _ in texts)
         for r in got:
             assert np.allclose(r.vec, np.mean(words[r.doc], axis=0) if words[r.doc] else np.zeros(4), atol=1e-12)
+
+
+def test_words_are_counted_before_they_move(spark):
+    """Between the texts and the join by word nothing is shuffled, and sums and copied vectors grow alike."""
+    from tabloom.operators import features as feat
+
+    docs = spark.createDataFrame([(1, "a b a"), (2, "b\tc  b b"), (1, "a"), (None, "a"), (3, "")], "doc long, text string")
+    vectors = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [0.0, 1.0]), ("", [5.0, 5.0])], "word string, vec array<double>")
+    out = feat.sentence_vectors(docs, "doc", "text", vectors, 2)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "count(1)" not in plan
+    got = sorted((r.doc is None, r.doc, r.vec) for r in out.collect())
+    assert got == [(False, 1, [0.75, 0.25])] * 2 + [(False, 2, [0.0, 1.0]), (False, 3, [5.0, 5.0]), (True, None, [0.0, 0.0])]
+    for words in (1 << 16, 1 << 20):
+        chunks, parts = feat._blocking(words, 1 << 24, None, None)
+        assert words / chunks <= feat.MOST_WORDS and 0.2 < (chunks << 24) / (parts * words) < 5
